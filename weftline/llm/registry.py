@@ -1,9 +1,11 @@
 """Queries of this subpackage and the SQL that some of them can be held against."""
 
-from weftline.llm import decontaminate, exactdedup, simhash
+from weftline.llm import decontaminate, exactdedup, packing, simhash, tokenfile
 
 QUERIES = {
+    "op3_token_file": tokenfile.op3_token_file,
     "op5_exact_dedup": exactdedup.op5_exact_dedup,
+    "op6_packing": packing.op6_packing,
     "op8_simhash": simhash.op8_simhash,
     "op10_decontamination": decontaminate.op10_decontamination,
 }

@@ -1,9 +1,10 @@
 """Queries of this subpackage and the SQL that some of them can be held against."""
 
-from weftline.llm import decontaminate, exactdedup, packing, simhash, tokenfile
+from weftline.llm import decontaminate, exactdedup, langid, packing, simhash, tokenfile
 
 QUERIES = {
     "op3_token_file": tokenfile.op3_token_file,
+    "op4_language_id": langid.op4_language_id,
     "op5_exact_dedup": exactdedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op8_simhash": simhash.op8_simhash,

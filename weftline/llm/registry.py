@@ -1,12 +1,13 @@
 """Queries of this subpackage and the SQL that some of them can be held against."""
 
-from weftline.llm import decontaminate, exactdedup, langid, packing, simhash, tokenfile
+from weftline.llm import decontaminate, exactdedup, langid, packing, simhash, tokenfile, toxicity
 
 QUERIES = {
     "op3_token_file": tokenfile.op3_token_file,
     "op4_language_id": langid.op4_language_id,
     "op5_exact_dedup": exactdedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_simhash": simhash.op8_simhash,
     "op10_decontamination": decontaminate.op10_decontamination,
 }

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import Scratch
+from weftline.llm.scratch import Scratch, small_batches
 from weftline.llm.textcode import column_bytes, covered, grams, lower_table, ranges, slices, span_hashes, word_spans
 
 WINDOW = 10
@@ -155,6 +155,7 @@ def _spans(hit: np.ndarray) -> bytes:
 def hit_words(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_words, n_hit, items (sorted array of ids)``, a row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     base = docs.select(F.col(ident).alias("doc_id"), F.col(text).cast("string").alias("text"))
     query = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = query.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
@@ -212,6 +213,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs without any hit word; each block of the benchmark passes over what is left."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    query = benchmark.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    size = query.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    for block in range(blocks):
+        texts = [r.text for r in query.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()]  # at most about block_bytes
+        sent = spark.sparkContext.broadcast(texts)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            index = Index(sent.value, [""] * len(sent.value))
+            for batch in batches:
+                for piece in slices(batch, text):
+                    w = Words(*column_bytes(piece.column(text)))
+                    total = np.concatenate([[0], np.cumsum(index.hits(w)[0])])
+                    yield piece.filter(pa.array(total[w.first[1:]] == total[w.first[:-1]]))
+
+        docs = docs.mapInArrow(run, kind)
+    return docs
+
+
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

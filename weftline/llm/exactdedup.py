@@ -181,6 +181,18 @@ def duplicate_groups(docs: DataFrame, text: str = "text", ident: str = "doc_id",
     return out.select("doc_id", F.col("top").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def without_copies(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """The rows of docs that stay; of rows equal in doc_id and text, one."""
+    scratch = Scratch(docs.sparkSession, "withoutcopies")
+    stay = scratch.keep(duplicate_groups(docs, text, ident).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")), "stay")
+    digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+    out = docs.withColumn("_own", digest)
+    if not stay.groupBy("_id", "_digest").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates([ident, "_own"])
+    match = F.col(ident).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
+    return out.join(stay, match, "left_semi").drop("_own")
+
+
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return duplicate_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.scratch import small_batches
 from weftline.llm.textcode import U, column_bytes, constants, lower_table, ranges, slices
 
 BUCKETS = 1 << 16
@@ -202,6 +203,7 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", ident: str =
 
 def classify(docs: DataFrame, model: LanguageModel, text: str = "text", ident: str = "doc_id", keep: bool = False) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row; with ``keep`` all columns of docs and these as ``_lang, _score``."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,6 +220,12 @@ def classify(docs: DataFrame, model: LanguageModel, text: str = "text", ident: s
     return base.mapInArrow(run, f"doc_id {base.schema[ident].dataType.simpleString()}, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose language is known well enough: not ``und``, and a score of ``reject_below`` or more."""
+    model = train(docs, text)
+    return classify(docs, model, text, keep=True).where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= model.reject_below)).drop("_lang", "_score")
+
+
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = classify(docs, train(docs))

@@ -11,7 +11,8 @@ distance 4 (one, or six if its own is at distance 3). If two segments differ in
 first one's codeword is within 3 + 1 of the second, so filing and asking meet. Candidates are
 verified on all 64 bits.
 
-Null or wordless texts have fingerprint zero, linked like any other. Repeated rows and equal
+Rows with a null doc_id have the component of the documents of their fingerprint (null, if none
+has an id). Null or wordless texts have fingerprint zero, linked like any other. Repeated rows and equal
 fingerprints are one node; a table without rows gives no rows. Extra columns are ignored.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.graphs import components
-from weftline.llm.scratch import Scratch, lookup, parts
+from weftline.llm.scratch import Scratch, lookup, parts, small_batches
 from weftline.llm.textcode import SPACE, U, column_bytes, lower_table, ranges, slices, word_spans
 
 WORDS = 3
@@ -213,10 +214,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id")
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest doc_id reachable by links."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
+    small_batches(spark)
     rows = scratch.keep(fingerprint_rows(docs, text, ident), "fingerprints")
     total = rows.count()
     nodes = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")), "nodes")
-    links = scratch.keep(near_links(nodes, scratch).distinct(), "links")
+    links = scratch.keep(near_links(nodes.where("id is not null"), scratch).distinct(), "links")
     scratch.drop("keys")
     found = components(links, scratch)
     label = nodes.join(found, "id", "left").select("fp", "n", F.coalesce("component", "id").alias("component_id"))
@@ -224,5 +226,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id")
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """The rows of docs that name their component; of rows with one doc_id there, all stay."""
+    found = near_duplicates(docs, text, ident).where("doc_id <=> component_id").select(F.col("doc_id").alias("_stay")).distinct()
+    return docs.join(found, F.col(ident).cast("long").eqNullSafe(F.col("_stay")), "left_semi")
+
+
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

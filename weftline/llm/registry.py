@@ -1,9 +1,10 @@
 """Queries of this subpackage and the SQL that some of them can be held against."""
 
-from weftline.llm import decontaminate, exactdedup, htmltext, langid, packing, repeats, simhash, tokenfile, toxicity
+from weftline.llm import decontaminate, exactdedup, htmltext, langid, licenses, packing, repeats, simhash, tokenfile, toxicity
 
 QUERIES = {
     "op1_html_text": htmltext.op1_html_text,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_token_file": tokenfile.op3_token_file,
     "op4_language_id": langid.op4_language_id,
     "op5_exact_dedup": exactdedup.op5_exact_dedup,

@@ -41,7 +41,7 @@ def test_round_trip(n):
 
 
 def test_file_round_trip(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tokenfile, "BLOCK", 300)
+    monkeypatch.setattr(tokenfile, "BLOCK", 700)
     rng = random.Random(2)
     rows = [(i * 3 % 97, " ".join(rng.choice(["the", "Zebra", "été", "\n", "x,"]) for _ in range(rng.randint(0, 90))), 1) for i in range(97)]
     rows += [(200, None, 1), (201, "", 1), (None, "null id", 1), (5, "again", 1), (5, "again", 1), (300, "long " * 5000, 1)]

@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import huffman
-from weftline.llm.scratch import Scratch, parts
+from weftline.llm.scratch import Scratch, in_order, small_batches
 from weftline.llm.textcode import slices
 from weftline.llm.tokens import encoder
 
-#: Ids of a block, about; a document is never cut, so a long one makes a long block.
-BLOCK = 200_000
+#: Text bytes of a block, about; a document is never cut, so a long one makes a long block.
+BLOCK = 1_500_000
 END = 2
 _HEAD = struct.Struct("<4sIQQQ")
 _MAGIC = b"WTOK"
@@ -60,60 +60,38 @@ def read_block(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc_ids, null, sizes, huffman.unpack(data[at + 8 * marks :], offsets, counts, table)
 
 
-def _planes(ids: bytes, width: int) -> bytes:
-    """All low bytes, then all higher ones: compresses better. Its own inverse is _joined."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, width).T.tobytes()
-
-
-def _joined(planes: bytes, width: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END, text: str = "text", ident: str = "doc_id") -> None:
     """Encode every text and write codebook and blocks, in ascending order of doc_id, into folder."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokenfile")
+    small_batches(spark)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        tail = np.array([end], enc.kind).tobytes()
         shard, block, start = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple[int | None, bytes]] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal held, size, block, start
-            ids = b"".join([x for _, x in held])
-            row = {
-                "shard": [shard], "block": [block], "start": [start], "tokens": [size], "width": [enc.width],
-                "doc_ids": [np.array([d or 0 for d, _ in held], "<i8").tobytes()], "nulls": [np.array([d is None for d, _ in held], "u1").tobytes()],
-                "sizes": [np.array([len(x) // enc.width for _, x in held], "<u4").tobytes()], "ids": [_planes(ids, enc.width)],
-            }
-            block, start = block + 1, start + size
-            held, size = [], 0
-            return pa.RecordBatch.from_pydict(row, schema=_DRAFT)
-
         for batch in batches:
-            for piece in slices(batch, "text"):
-                for d, x in zip(piece.column("doc_id").to_pylist(), enc.encode(piece.column("text").to_pylist())):
-                    held.append((d, x + tail))
-                    size += len(x) // enc.width + 1
-                    if size >= BLOCK:
-                        yield flush()
-        if held:
-            yield flush()
+            for piece in slices(batch, "text", BLOCK):
+                ids, sizes = enc.encode(piece.column("text"), end)
+                doc_ids = piece.column("doc_id")
+                row = {
+                    "shard": [shard], "block": [block], "start": [start], "tokens": [len(ids)], "width": [enc.width],
+                    "doc_ids": [doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes()], "nulls": [doc_ids.is_null().to_numpy(zero_copy_only=False).astype("u1").tobytes()],
+                    "sizes": [sizes.astype("<u4").tobytes()], "ids": [ids.tobytes()],
+                }
+                block, start = block + 1, start + len(ids)
+                yield pa.RecordBatch.from_pydict(row, schema=_DRAFT)
 
     base = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = base.repartitionByRange(parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = in_order(base, "doc_id", "text")
     draft = ordered.mapInArrow(tokens, "shard int, block int, start long, tokens long, width int, doc_ids binary, nulls binary, sizes binary, ids binary")
-    draft.write.option("compression", "zstd").parquet(scratch.path("draft"))
+    draft.write.option("compression", "none").parquet(scratch.path("draft"))
     draft = spark.read.schema(draft.schema).parquet(scratch.path("draft"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
             for w, x in zip(batch.column("width").to_pylist(), batch.column("ids")):
-                c = np.bincount(_joined(x.as_buffer(), w))
+                c = np.bincount(np.frombuffer(x.as_buffer(), f"<u{w}"))
                 if len(c) > len(total):
                     c, total = total, c
                 total[: len(c)] += c
@@ -137,7 +115,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END, t
             for r in range(batch.num_rows):
                 row = {c: batch.column(c)[r] for c in batch.schema.names}
                 doc_ids, null, sizes = (np.frombuffer(row[c].as_buffer(), k) for c, k in (("doc_ids", "<i8"), ("nulls", "u1"), ("sizes", "<u4")))
-                data = write_block(doc_ids, null, sizes, _joined(row["ids"].as_buffer(), row["width"].as_py()), size, codes)
+                data = write_block(doc_ids, null, sizes, np.frombuffer(row["ids"].as_buffer(), f"<u{row['width'].as_py()}"), size, codes)
                 yield pa.RecordBatch.from_pydict({c: [row[c].as_py()] for c in ("shard", "block", "start", "tokens")} | {"data": [data]}, schema=_BLOCKS)
 
     coded = draft.mapInArrow(code, "shard int, block int, start long, tokens long, data binary")

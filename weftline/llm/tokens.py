@@ -1,9 +1,11 @@
-"""Texts to token ids with the tokenizers library, each distinct word encoded once.
-
-Both kinds of vocabulary file known here cut a text at white space before they merge, so a
-text's ids are those of its words in turn. The ids of a word are kept; what is new in a batch
-is encoded by the library in one call. A text whose white space doesn't allow that, and every
-text of another kind of file, is encoded whole.
+"""Texts to token ids with the tokenizers library, each distinct piece encoded once.
+
+Both kinds of vocabulary file known here cut a text before they merge: always where white space
+begins, and always between an ASCII letter and ASCII punctuation or a digit. So a text's ids are
+those of the pieces between such places. Pieces of a batch are numbered by Arrow's dictionary
+encoding; the ids of a piece are kept, and what is new in a batch is encoded by the library in
+one call. Texts with white space beyond ASCII or control characters that some count as such, and
+every text of another kind of file, are encoded whole.
 """
 
 from __future__ import annotations
@@ -13,13 +15,39 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from weftline.llm.textcode import column_bytes, ranges
+
+#: Pieces that came in two batches and are kept (beyond that the later half goes), and pieces that came in one.
+KEPT, YOUNG = 250_000, 350_000
+#: New pieces that one call of the library encodes; it is slower on long texts.
+GROUP = 500
+
+_BLANK, _LETTER, _OTHER, _LONG = range(4)
+
+
+def _classes() -> np.ndarray:
+    t = np.full(256, _OTHER, np.uint8)
+    t[[9, 10, 11, 12, 13, 32]] = _BLANK
+    t[65:91] = t[97:123] = _LETTER
+    t[128:] = _LONG
+    return t
 
-#: Words whose ids are kept; beyond that the store starts anew.
-KEPT = 400_000
 
+_CLASS = _classes()
+#: First bytes of white space beyond ASCII in UTF-8, and control characters.
+_ODD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3, 0x1C, 0x1D, 0x1E, 0x1F])
 
-def _space_ended(word: str) -> bool:
-    return not word or word[-1].isspace()
+
+def _odd_places(data: np.ndarray) -> np.ndarray:
+    """Where white space beyond ASCII, or a control character from 1C to 1F, stands."""
+    at = np.flatnonzero(_ODD[data])
+    a, b, c = (data[np.minimum(at + k, max(len(data) - 1, 0))] for k in range(3))
+    two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    three = (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+    three |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
+    return at[(a < 0x20) | two | three]
 
 
 class Encoder:
@@ -47,8 +75,8 @@ class Encoder:
             mark = self.tokenizer.encode("\x01", add_special_tokens=False).ids
             if len(mark) == 1:
                 self.strategy, self.mark = "word", mark[0]
-        self.first: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         if not texts:
@@ -58,61 +86,103 @@ class Encoder:
     def _one_call(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, keys: list[bytes]) -> None:
+        """Store the ids of pieces: those that can stand one after another are encoded in one call."""
         if self.strategy == "space":
-            odd = [w for w in words if _space_ended(w)]
-            plain = [w for w in words if not _space_ended(w)]
-            lead = " "
+            # white space after something else always starts anew
+            fit = [k for k in keys if k[0] in b" \t\n\x0b\x0c\r" and k[-1] not in b" \t\n\x0b\x0c\r"]
         else:
-            odd = [w for w in words if "\x01" in w]
-            plain = [w for w in words if "\x01" not in w]
-            lead = ""
-        for lo in range(0, len(plain), 20_000):
-            some = plain[lo : lo + 20_000]
+            fit = [k for k in keys if b"\x01" not in k]
+        done = 0
+        for lo in range(0, len(fit), GROUP):
+            some = fit[lo : lo + GROUP]
             if self.strategy == "space":
-                ids = self._one_call(" " + " ".join(some))
+                ids = self._one_call(b"".join(some).decode())
                 ends = np.cumsum(self.length[ids])
-                want = np.cumsum([len(w.encode()) + 1 for w in some])
+                want = np.cumsum([len(k) for k in some])
                 to = np.minimum(np.searchsorted(ends, want), len(ends) - 1)
-                fits = bool((ends[to] == want).all())
+                ok = bool((ends[to] == want).all())
                 start, stop = np.concatenate([[0], to[:-1] + 1]), to + 1
             else:
-                ids = self._one_call(" \x01 ".join(some) + " \x01")
+                ids = self._one_call((b" \x01 ".join(some) + b" \x01").decode())
                 stop = np.flatnonzero(ids == self.mark)
-                fits = len(stop) == len(some)
-                start = np.concatenate([[0], stop[:-1] + 1]) if fits else stop
-            if not fits:
-                odd += some
-                continue
+                ok = len(stop) == len(some)
+                start = np.concatenate([[0], stop[:-1] + 1]) if ok else stop
+            if not ok:
+                break
             raw, w = ids.astype(self.kind).tobytes(), self.width
-            self.memo.update((x, raw[a:b]) for x, a, b in zip(some, (start * w).tolist(), (stop * w).tolist()))
-        self.memo.update(zip(odd, self.whole([lead + w for w in odd])))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
+            self.young.update((k, raw[a:b]) for k, a, b in zip(some, (start * w).tolist(), (stop * w).tolist()))
+            done += len(some)
+        if done < len(keys):
+            rest = [k for k in keys if k not in self.young]
+            self.young.update(zip(rest, self.whole([k.decode() for k in rest])))
+
+    def _look_up(self, keys: list[bytes], whole: dict[int, bytes]) -> list[bytes]:
+        """The ids of each piece; ``whole`` has some by their place."""
+        if len(self.memo) > KEPT:
+            self.memo = dict(list(self.memo.items())[: KEPT // 2])
+        if len(self.young) > YOUNG:
+            self.young = {}
+        memo, young = self.memo, self.young
+        pool = [memo.get(k) for k in keys]
+        for i, x in whole.items():
+            pool[i] = x
+        open_ = [i for i, x in enumerate(pool) if x is None]
+        new = []
+        for i in open_:
+            k = keys[i]
+            if (x := young.pop(k, None)) is None:
+                new.append(i)
+            else:
+                memo[k] = pool[i] = x
+        if new:
+            self._learn([keys[i] for i in new])
+            for i in new:
+                pool[i] = young[keys[i]]
+        return pool
+
+    def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one text after another, and how many each text has; ``end`` closes every text."""
+        data, off = column_bytes(col)
+        n = len(off) - 1
+        apart = np.zeros(n, bool)
         if self.strategy == "whole":
-            return self.whole(texts)
-        if len(self.memo) > KEPT or len(self.first) > KEPT:
-            self.first, self.memo = {}, {}
-        if self.strategy == "space":
-            apart = ["  " in t for t in texts]
-            parts = [[""] if a else t.split(" ") for t, a in zip(texts, apart)]
-            heads = list({p[0] for p in parts} - self.first.keys())
-            self.first.update(zip(heads, self.whole(heads)))
-            new = {w for p in parts for w in p[1:]} - self.memo.keys()
+            apart[:] = True
         else:
-            apart = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-            parts = [[] if a else t.split() for t, a in zip(texts, apart)]
-            new = {w for p in parts for w in p} - self.memo.keys()
-        self._learn(list(new))
-        whole = iter(self.whole([t for t, a in zip(texts, apart) if a]))
-        memo, first = self.memo, self.first
-        if self.strategy == "space":
-            return [next(whole) if a else first[p[0]] + b"".join([memo[w] for w in p[1:]]) for p, a in zip(parts, apart)]
-        return [next(whole) if a else b"".join([memo[w] for w in p]) for p, a in zip(parts, apart)]
+            apart[np.searchsorted(off, _odd_places(data), "right") - 1] = True
+        kind = _CLASS[data]
+        edge = np.zeros(len(data) + 1, bool)
+        if len(data):
+            edge[1:-1] = (kind[1:] == _BLANK) & (kind[:-1] != _BLANK) | (kind[:-1] == _LETTER) & (kind[1:] == _OTHER)
+        edge[off] = True
+        if apart.any():  # one piece each
+            edge[1:-1] &= np.repeat(~apart, np.diff(off))[1:]
+            edge[off] = True
+        place = np.flatnonzero(edge) if len(data) else np.zeros(1, np.int64)
+        first = np.searchsorted(place, off)
+        pieces = pa.BinaryArray.from_buffers(pa.binary(), len(place) - 1, [None, pa.py_buffer(place.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        codes = pieces.indices.to_numpy().astype(np.int64)
+        keys = pieces.dictionary.to_pylist()
+        whole = {}
+        if apart.any():
+            some = np.flatnonzero(apart & (np.diff(off) > 0))
+            whole = dict(zip(codes[first[some]].tolist(), self.whole([col[i].as_py() for i in some.tolist()])))
+        pool = self._look_up(keys, whole)
+        count = np.diff(first)
+        if end is not None:
+            codes = np.insert(codes, first[1:], len(pool))
+            pool.append(np.array([end], self.kind).tobytes())
+            count = count + 1
+        size = np.array([len(x) for x in pool], np.int64) // self.width
+        lead = np.cumsum(size) - size
+        each = size[codes]
+        ids = np.frombuffer(b"".join(pool), self.kind)[ranges(lead[codes], each)]
+        total = np.concatenate([[0], np.cumsum(each)])
+        at = np.concatenate([[0], np.cumsum(count)])
+        return ids, total[at[1:]] - total[at[:-1]]
 
 
 @lru_cache(4)
 def encoder(path: str) -> Encoder:
-    """One encoder for each file and Python worker; its store of words serves all tasks of the worker."""
+    """One encoder for each file and Python worker; its store of pieces serves all tasks of the worker."""
     return Encoder(path)

@@ -8,7 +8,7 @@ the padding is most - (p - q), or nothing if p - q is a power of two. The first
 minimum of f(q) + q over a sliding window, kept in a monotone queue; the powers of two are
 looked up. So a step costs a constant however many cuts lie in a window.
 
-The order is that of a range partitioning by doc_id; a partition's last window is the only one
+Partitions are ranges of doc_id; a partition's last window is the only one
 that isn't weighed against what follows. Null text is empty (its end id alone); null doc_ids
 come first; repeated rows are documents of their own; an empty table gives no rows. Extra
 columns are ignored. Sequence ids are the partition's number times 2 ** 32 plus a count.
@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import parts
-from weftline.llm.textcode import slices
+from weftline.llm.scratch import in_order, small_batches
+from weftline.llm.textcode import ranges, slices
 from weftline.llm.tokens import encoder
 
 MOST = 2048
@@ -44,9 +44,22 @@ HORIZON = 400_000
 def best_cuts(place: np.ndarray, penalty: np.ndarray, most: int = MOST) -> np.ndarray:
     """Indices of the cheapest cuts. place ascends from 0, no step above ``most``; the last is taken."""
     n = len(place)
+    # for each place, the places that lie a power of two before it
+    index = np.full(int(place[-1]) + 1, -1, np.int32)
+    index[place] = np.arange(n)
+    ends, starts = [], []
+    for b in range(most.bit_length()):
+        if 1 << b <= most:
+            later = np.searchsorted(place, 1 << b)
+            j = index[place[later:] - (1 << b)]
+            ok = j >= 0
+            ends.append(np.flatnonzero(ok) + later)
+            starts.append(j[ok])
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    lead = np.searchsorted(ends[order], np.arange(n + 1)).tolist()
+    exact = starts[order].tolist()
     p, pen = place.tolist(), penalty.tolist()
-    at = {x: i for i, x in enumerate(p)}
-    powers = [1 << b for b in range(most.bit_length()) if 1 << b <= most]
     f, back = [0.0] * n, [0] * n
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # f(q) + q, ascending
     for i in range(1, n):
@@ -55,9 +68,8 @@ def best_cuts(place: np.ndarray, penalty: np.ndarray, most: int = MOST) -> np.nd
             queue.popleft()
         value, j = queue[0]
         cost = value + most - here
-        for size in powers:
-            q = at.get(here - size)
-            if q is not None and f[q] < cost:
+        for q in exact[lead[i] : lead[i + 1]]:
+            if f[q] < cost:
                 cost, j = f[q], q
         cost += pen[i]
         f[i], back[i] = cost, j
@@ -73,17 +85,19 @@ def best_cuts(place: np.ndarray, penalty: np.ndarray, most: int = MOST) -> np.nd
 
 def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
     """Where cuts may be (0 first) and their penalties."""
-    place = np.union1d(doc_ends, sentence_ends)
-    place = np.concatenate([[0], place[place > 0]])
+    total = int(doc_ends[-1])
+    kind = np.zeros(total + 1, np.uint8)  # of each place: 0 none, 1 elsewhere, 2 sentence, 3 document
+    kind[sentence_ends] = 2
+    kind[doc_ends] = 3
+    kind[0] = 3
+    place = np.flatnonzero(kind)
     gap = np.diff(place)
-    more = (gap - 1) // stretch
-    wide = np.flatnonzero(more)
-    extra = np.concatenate([place[w] + stretch * np.arange(1, more[w] + 1) for w in wide]) if len(wide) else np.zeros(0, np.int64)
-    every = np.union1d(place, extra)
-    penalty = np.full(len(every), ELSEWHERE)
-    penalty[np.isin(every, sentence_ends)] = SENTENCE
-    penalty[np.isin(every, doc_ends)] = DOCUMENT
-    return every, penalty
+    wide = np.flatnonzero(gap > stretch)
+    if len(wide):
+        more = (gap[wide] - 1) // stretch
+        kind[np.repeat(place[wide], more) + stretch * (ranges(np.zeros(len(wide), np.int64), more) + 1)] = 1
+        place = np.flatnonzero(kind)
+    return place, np.array([0, ELSEWHERE, SENTENCE, DOCUMENT])[kind[place]]
 
 
 def sentence_ids(tokenizer: str) -> np.ndarray:
@@ -101,43 +115,50 @@ class Packer:
 
     def __init__(self, ends: np.ndarray, first: int, most: int = MOST, horizon: int = HORIZON):
         self.closes, self.sequence, self.most, self.horizon = ends, first, most, horizon
-        self.docs: list[tuple[object, np.ndarray, int]] = []  # what waits: id, its ids, how many went before
-        self.waiting = 0
-
-    def add(self, doc: object, ids: np.ndarray) -> Iterator[tuple]:
-        self.docs.append((doc, ids, 0))
-        self.waiting += len(ids)
-        if self.waiting >= self.horizon:
+        self.docs: list = []  # what waits: ids of documents, their sizes, and the first one's ids that went before
+        self.sizes = np.zeros(0, np.int64)
+        self.gone = 0
+        self.stream = np.zeros(0, np.int64)
+
+    def add(self, docs: list, sizes: np.ndarray, ids: np.ndarray) -> Iterator[tuple]:
+        self.docs = self.docs + docs
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.stream = np.concatenate([self.stream, ids]) if len(self.stream) else ids
+        while len(self.stream) >= 2 * self.horizon:  # a part of what waits, up to a document's end
+            yield from self.pack(False)
+        if len(self.stream) >= self.horizon:
             yield from self.pack(False)
 
     def pack(self, last: bool) -> Iterator[tuple]:
-        if not self.docs:
+        """Cut what waits, but for the open window at its end."""
+        if not len(self.docs):
+            return
+        ends = np.cumsum(self.sizes) - self.gone
+        upto = len(ends) if last else min(len(ends), int(np.searchsorted(ends, self.horizon)) + 1)
+        if last and ends[-1] > 2 * self.horizon:
+            yield from self.pack(False)
+            yield from self.pack(True)
             return
-        size = np.array([len(x) - done for _, x, done in self.docs])
-        ends = np.cumsum(size)
-        stream = np.concatenate([x[done:] for _, x, done in self.docs])
-        sentence = np.flatnonzero(self.closes[stream]) + 1
-        place, penalty = cut_places(ends, sentence, min(STRETCH, self.most))
+        ends = ends[:upto]
+        stream = self.stream[: ends[-1]]
+        place, penalty = cut_places(ends, np.flatnonzero(self.closes[stream]) + 1, min(STRETCH, self.most))
         cuts = place[best_cuts(place, penalty, self.most)]
         if not last and len(cuts) > 2:
             cuts = cuts[:-1]  # the open window waits for what follows
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            i = int(np.searchsorted(ends, a, "right"))
-            x = a
-            while x < b:
-                doc, ids, done = self.docs[i]
-                start = x - (int(ends[i]) - int(size[i])) + done
-                n = min(b, int(ends[i])) - x
-                yield doc, start, n, zlib.crc32(ids[start : start + n].astype("<u4").tobytes()), len(ids), self.sequence, x - a
-                x, i = x + n, i + 1
-            self.sequence += 1
         cut = int(cuts[-1])
-        i = int(np.searchsorted(ends, cut, "right"))
-        left = []
-        for k in range(i, len(self.docs)):
-            doc, ids, done = self.docs[k]
-            left.append((doc, ids, done + cut - (int(ends[k]) - int(size[k])) if k == i else done))
-        self.docs, self.waiting = left, int(ends[-1]) - cut
+        # pieces: cut at windows and at documents' ends
+        edges = np.union1d(cuts, ends[ends < cut])
+        a, size = edges[:-1], np.diff(edges)
+        doc = np.searchsorted(ends, a, "right")
+        window = np.searchsorted(cuts, a, "right") - 1
+        begin = np.concatenate([[-self.gone], ends[:-1]])[doc]
+        raw = memoryview(stream[:cut].astype("<u4").tobytes())
+        crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(a.tolist(), edges[1:].tolist())]
+        yield from zip([self.docs[i] for i in doc.tolist()], (a - begin).tolist(), size.tolist(), crc, self.sizes[doc].tolist(), (self.sequence + window).tolist(), (a - cuts[window]).tolist())
+        self.sequence += len(cuts) - 1
+        done = int(np.searchsorted(ends, cut, "right"))
+        before = int(ends[done - 1]) if done else -self.gone
+        self.docs, self.sizes, self.stream, self.gone = self.docs[done:], self.sizes[done:], self.stream[cut:], cut - before
 
 
 _OUT = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
@@ -148,7 +169,6 @@ def packed(docs: DataFrame, tokenizer: str, end: int = END, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        tail = np.array([end], enc.kind)
         packer = Packer(sentence_ids(tokenizer), TaskContext.get().partitionId() << 32, most)
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -156,15 +176,14 @@ def packed(docs: DataFrame, tokenizer: str, end: int = END, text: str = "text",
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, k) for c, (_, k) in zip(cols[1:], _OUT))], ["doc_id", *(n for n, _ in _OUT)])
 
         for batch in batches:
-            for piece in slices(batch, "text"):
-                rows: list[tuple] = []
-                for d, x in zip(piece.column("doc_id").to_pylist(), enc.encode(piece.column("text").to_pylist())):
-                    rows += packer.add(d, np.concatenate([np.frombuffer(x, enc.kind), tail]))
-                yield out(rows)
+            for piece in slices(batch, "text", 1_500_000):
+                ids, sizes = enc.encode(piece.column("text"), end)
+                yield out(list(packer.add(piece.column("doc_id").to_pylist(), sizes, ids)))
         yield out(list(packer.pack(True)))
 
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = base.repartitionByRange(parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = in_order(base, "doc_id", "text")
     return ordered.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.langid import held_out
+from weftline.llm.scratch import small_batches
 from weftline.llm.textcode import U, column_bytes, constants, lower_table, ranges, slices, span_hashes, word_spans
 
 WINDOW, STRIDE = 64, 48
@@ -33,6 +34,8 @@ VOCABULARY, SEEN = 4096, 8
 #: The model is fitted on about so many labelled rows of either kind.
 POSITIVE, NEGATIVE = 1500, 4500
 CALIBRATION = 0.2
+#: Of a longer text the fit sees so many characters, from a place that its id decides; and texts whose arrays are made at once.
+SEGMENT, PART = 6000, 400
 #: Windows of one text that train in an epoch.
 EACH = 4
 EPOCHS, BATCH, RATE, DECAY = 5, 128, 0.01, 1e-5
@@ -197,42 +200,49 @@ class Network:
         grad["char"][bucket] = np.add.reduceat((dx[:, WORD_DIM:] / c["n"][:, None].astype(np.float32))[owner], at)
         return grad
 
-    def fit(self, t: Text, label: np.ndarray, rng: np.random.Generator) -> Network:
-        """label: of each text, 0 or 1."""
+    def fit(self, parts: list[Text], labels: list[np.ndarray], rng: np.random.Generator) -> Network:
+        """labels: of each text of each part, 0 or 1. A batch comes from one part; their order is new in every epoch."""
         first = {k: np.zeros_like(x) for k, x in self.p.items()}
         second = {k: np.zeros_like(x) for k, x in self.p.items()}
-        target = label[t.text].astype(np.float32)
-        share = max(label.mean(), 1e-3)
+        texts = sum(len(y) for y in labels)
+        share = min(max(sum(float(y.sum()) for y in labels) / texts, 1e-3), 1 - 1e-3)
         step = 0
-        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, min(len(t.text), EACH * len(label)))))
+        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, sum(min(len(t.text), EACH * len(y)) for t, y in zip(parts, labels)))))
         for epoch in range(epochs):
-            trust = np.ones(len(target), np.float32)
-            turn = rng.random(len(target))
-            if epoch * 5 >= epochs * 2:
-                score = self.windows(t)
-                best = np.full(len(label), -np.inf)
-                np.maximum.at(best, t.text, score)
-                trust[(target > 0) & (score < best[t.text]) & (score < 0)] = 0
-                turn[(target == 0) & (score == best[t.text])] = -1  # the hardest window of a negative text
-            # the first EACH windows of each text in a new order
-            pick = np.lexsort((turn, t.text))
-            pick = rng.permutation(pick[np.arange(len(pick)) - np.searchsorted(t.text[pick], t.text[pick]) < EACH])
-            pick = pick[trust[pick] > 0]
             rate = RATE * (1 - 0.9 * epoch / epochs)
-            for lo in range(0, len(pick), BATCH):
-                some = pick[lo : lo + BATCH]
-                cache: dict = {}
-                out = self.forward(t, some, cache)
-                weight = np.where(target[some] > 0, 0.5 / share, 0.5 / (1 - share)) if share < 1 else 1.0
-                grad = self.backward(cache, (_sigmoid(out) - target[some]) * np.minimum(weight, 5) / len(some))
-                step += 1
-                for k, g in grad.items():
-                    g = g + DECAY * self.p[k] if k in ("word", "char") else g
-                    first[k] += 0.1 * (g - first[k])
-                    second[k] += 0.001 * (g * g - second[k])
-                    self.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            for k in rng.permutation(len(parts)):
+                for some, target in self._batches(parts[k], labels[k], rng, epoch * 5 >= epochs * 2):
+                    cache: dict = {}
+                    out = self.forward(parts[k], some, cache)
+                    weight = np.minimum(np.where(target > 0, 0.5 / share, 0.5 / (1 - share)), 5)
+                    grad = self.backward(cache, (_sigmoid(out) - target) * weight / len(some))
+                    step += 1
+                    for name, g in grad.items():
+                        g = g + DECAY * self.p[name] if name in ("word", "char") else g
+                        first[name] += 0.1 * (g - first[name])
+                        second[name] += 0.001 * (g * g - second[name])
+                        self.p[name] -= rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
         return self
 
+    def _batches(self, t: Text, label: np.ndarray, rng: np.random.Generator, choose: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows to train on, with their targets. choose: doubt positive ones and prefer hard negative ones."""
+        target = label[t.text].astype(np.float32)
+        trust = np.ones(len(target), bool)
+        turn = rng.random(len(target))
+        if choose and len(target):
+            score = self.windows(t)
+            best = np.full(len(label), -np.inf)
+            np.maximum.at(best, t.text, score)
+            trust = (target == 0) | (score >= best[t.text]) | (score >= 0)
+            turn[(target == 0) & (score == best[t.text])] = -1
+        # the first EACH windows of each text in a new order
+        pick = np.lexsort((turn, t.text))
+        pick = rng.permutation(pick[np.arange(len(pick)) - np.searchsorted(t.text[pick], t.text[pick]) < EACH])
+        pick = pick[trust[pick]]
+        for lo in range(0, len(pick), BATCH):
+            some = pick[lo : lo + BATCH]
+            yield some, target[some]
+
     def windows(self, t: Text) -> np.ndarray:
         return self.forward(t, np.arange(len(t.text))) if len(t.text) else np.zeros(0, np.float32)
 
@@ -242,12 +252,12 @@ class Network:
         np.maximum.at(out, t.text, self.windows(t))
         return out
 
-    def calibrate(self, t: Text, label: np.ndarray, prior: float) -> None:
+    def calibrate(self, parts: list[Text], label: np.ndarray, prior: float) -> None:
         """Fit the logistic curve from highest logits to labels (Newton steps, a little shrinkage).
 
         prior: the share of positives among all labels, which the sample's differs from.
         """
-        x = self.highest(t)
+        x = np.concatenate([self.highest(t) for t in parts])
         ok = np.isfinite(x)
         x, y = np.clip(x[ok], -30, 30), label[ok].astype(np.float64)
         if not len(x) or y.min() == y.max():
@@ -274,25 +284,41 @@ def _text(texts: list[str]) -> Text:
     return Text(*column_bytes(pa.array(texts, pa.string())))
 
 
+def _parts(texts: list[str], label: np.ndarray, which: np.ndarray) -> tuple[list[Text], list[np.ndarray]]:
+    """PART texts at a time, so that memory does not grow with the sample."""
+    lists = [which[lo : lo + PART] for lo in range(0, len(which), PART)]
+    return [_text([texts[i] for i in x]) for x in lists], [label[x] for x in lists]
+
+
+def _vocabulary(parts: list[Text]) -> np.ndarray:
+    """Hashes of the words that most windows have."""
+    hashes, times = [], []
+    for t in parts:
+        place, window = t.word[ranges(t.start, t.size)], np.repeat(np.arange(len(t.size)), t.size)
+        each = np.unique(place * len(t.size) + window) // max(1, len(t.size))
+        hashes.append(t.hash)
+        times.append(np.bincount(each, minlength=len(t.hash)))
+    key, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(which, np.concatenate(times), len(key))
+    often = np.lexsort((key, -total))[:VOCABULARY]
+    return np.sort(key[often[total[often] >= SEEN]])
+
+
 def fit(texts: list[str], label: np.ndarray, prior: float | None = None) -> Network:
     net = Network(np.zeros(0, np.uint64))
-    if not len(label) or label.min() == label.max():
+    if not len(label) or label.min() == label.max() or not any(len(_text(texts[lo : lo + PART]).text) for lo in range(0, len(texts), PART)):
         net.p, net.floor = {}, float(label.mean()) if len(label) else 0.0
         return net
     rng = np.random.default_rng(3)
     late = rng.random(len(label)) < CALIBRATION
     if label[late].sum() < 5 or label[~late].sum() < 5:
         late[:] = False
-    t = _text([texts[i] for i in np.flatnonzero(~late)])
-    if not len(t.text):
-        net.p, net.floor = {}, float(label.mean())
-        return net
-    spread = np.unique(np.stack([t.word[ranges(t.start, t.size)], np.repeat(np.arange(len(t.size)), t.size)], 1), axis=0)[:, 0]
-    times = np.bincount(spread, minlength=len(t.hash))
-    often = np.lexsort((t.hash, -times))[:VOCABULARY]
-    net = Network(np.sort(t.hash[often[times[often] >= SEEN]]))
-    net.fit(t, label[~late], rng)
-    net.calibrate(_text([texts[i] for i in np.flatnonzero(late)]) if late.any() else t, label[late] if late.any() else label, float(label.mean()) if prior is None else prior)
+    parts, labels = _parts(texts, label, rng.permutation(np.flatnonzero(~late)))
+    net = Network(_vocabulary(parts))
+    net.fit(parts, labels, rng)
+    if late.any():
+        parts, labels = _parts(texts, label, np.flatnonzero(late))
+    net.calibrate(parts, np.concatenate(labels), float(label.mean()) if prior is None else prior)
     return net
 
 
@@ -305,12 +331,16 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "
     draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     few = known.where(draw < rate)
     base = docs.select(F.col(ident).alias("i"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull())
-    sample = sorted((r.i, r.t, r.y) for r in base.join(few, "i").collect())
+    begin = F.pmod(F.xxhash64("i", F.lit("segment")), F.greatest(F.length("t") - SEGMENT, F.lit(0)) + 1).cast("int") + 1
+    base = base.withColumn("t", F.col("t").substr(begin, F.lit(SEGMENT)))
+    # few has about positive + negative rows, whatever the tables' sizes
+    sample = sorted((r.i, r.t, r.y) for r in base.join(F.broadcast(few), "i").collect())
     return fit([t for _, t, _ in sample], np.array([y for *_, y in sample], np.int64), counts.get(1, 0) / max(1, sum(counts.values())))
 
 
 def scored(docs: DataFrame, net: Network, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """``doc_id, score``."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

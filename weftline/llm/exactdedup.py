@@ -165,12 +165,13 @@ def duplicate_groups(docs: DataFrame, text: str = "text", ident: str = "doc_id",
         known = scratch.keep(met.unionByName(fresh.where("not maybe").select("digest", "top", "n")), f"known{b}")
     # byte check: texts of a digest that several rows have are grouped by their bytes
     whole = docs.select(F.col(ident).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    several = known.where("n > 1")
     digest = F.unhex(F.sha2("text", 256))
-    texts = whole.withColumn("digest", digest).join(several.select("digest"), "digest", "left_semi").groupBy("digest", "text").agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
+    # copies meet within each task first, so a text with many copies is dealt once per task
+    texts = whole.withColumn("digest", digest).groupBy("digest", "text").agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
     sure = scratch.keep(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("top").alias("top"), F.sum("n").alias("n")), "checked")
     clash = sure.where("texts > 1")
-    groups = known.where("n = 1").select("digest", "top", "n").unionByName(sure.where("texts = 1").select("digest", "top", "n"))
+    # a group as the batches found it, with its bytes checked: as many rows have this one text
+    groups = known.select("digest", "top", "n").join(sure.where("texts = 1").select("digest", F.col("n").alias("_n")), "digest").where("n = _n").drop("_n")
     out = lookup(rows, groups, "digest", F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8"), "n", total)
     if not clash.isEmpty():  # two texts of one SHA-256
         out = out.join(clash.select("digest"), "digest", "left_anti")

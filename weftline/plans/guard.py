@@ -27,10 +27,11 @@ def writes(sql: str) -> str:
 
 
 def is_query(spark: SparkSession, sql: str) -> bool:
-    """Whether the parsed statement is a query: no command stands at the root of its plan."""
+    """Whether the parsed statement is a query: neither a command nor a statement that writes is its root."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    names = {plan.nodeName()} | {plan.children().apply(i).nodeName() for i in range(plan.children().size())}
-    return not any(re.search(r"Command|Create|Drop|Insert|Delete|Update|Merge|Truncate|Alter|Set[A-Z]", n) for n in names)
+    load = spark._jvm.java.lang.Class.forName
+    package = "org.apache.spark.sql.catalyst.plans.logical."
+    return not any(load(package + c).isInstance(plan) for c in ("Command", "ParsedStatement"))
 
 
 def provenance_gap(sql: str | None) -> str:

@@ -41,9 +41,9 @@ LENGTH = 200
 GRAM = 40
 STEP = 13
 #: Open ranges of a key that one index takes; beyond that the key is cut further.
-HOT = 20_000
+HOT = 4_000
 #: Bytes of one run-length index, about.
-INDEX_BYTES = 3_000_000
+INDEX_BYTES = 1_500_000
 _C = constants(64, 51)
 _ITEM = [("row", pa.int64()), ("key", pa.int64()), ("same", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("n", pa.int32())]
 _ITEM_SQL = "row long, key long, same long, at int, lo int, hi int, n int"

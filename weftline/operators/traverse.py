@@ -47,6 +47,8 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
             out = found if out is None else out.unionByName(found)
         if depth < most:
             front = moved(every).withColumn("depth", F.lit(depth))
+            if most > 3:  # else every step would compute all those before it again
+                front = front.checkpoint()
     return out.groupBy("start", "vertex").agg(F.min("depth").alias("depth"))
 
 

@@ -656,3 +656,81 @@ def import_tree(spark, sf_dir):
 def reference_counts(spark, sf_dir):
     """How often each package stands in the tree."""
     return utilities.reference_counts(import_tree(spark, sf_dir), "App").select("package", F.col("references").cast("int").alias("references"))
+
+
+# --- survey and lookups ---
+
+
+@query("SELECT m AS model, count(*) AS entities, count(source_file) AS declared FROM (SELECT source_file, unnest(models) AS m FROM entities) GROUP BY m")
+def models_entities(spark, sf_dir):
+    """Entities of each model, and how many of them a file declares."""
+    rows = entities(spark, sf_dir).select("source_file", F.explode("models").alias("model"))
+    return rows.groupBy("model").agg(counted("entities"), F.count("source_file").alias("declared"))
+
+
+@query("SELECT id, entity_name, array_to_string(files, ',') AS files FROM entities WHERE entity_type = 'supplier' AND list_contains(models, 'supply')")
+def parts_of_model(spark, sf_dir):
+    """Elements of one kind and model."""
+    rows = entities(spark, sf_dir).where((F.col("entity_type") == "supplier") & F.array_contains("models", "supply"))
+    return rows.select("id", "entity_name", F.array_join("files", ",").alias("files"))
+
+
+@query("""
+SELECT e.id, e.entity_name, max(CASE WHEN a.name = 'retailPrice' THEN round(a.value, 4) END) AS price, max(CASE WHEN a.name = 'finish' THEN a.text END) AS finish, max(CASE WHEN a.name = 'netCost' THEN a.expression END) AS cost
+FROM entities e LEFT JOIN attrs a ON a.id = e.id WHERE e.entity_name IN ('SMALL RING', 'SMALL BOLT') AND e.source_file IS NOT NULL GROUP BY ALL
+""")
+def attributes_of_named(spark, sf_dir):
+    """Known attributes of named elements, read without a walk; what is missing is null."""
+    rows = entities(spark, sf_dir).where(F.col("entity_name").isin("SMALL RING", "SMALL BOLT") & declared())
+    return rows.select("id", "entity_name", F.round(attribute("retailPrice"), 4).alias("price"), attribute("finish", "text").alias("finish"), attribute("netCost", "expression").alias("cost"))
+
+
+@query("SELECT s.id, s.short_name, o.id AS twin FROM entities s JOIN entities o ON o.entity_name = s.short_name WHERE s.entity_type = 'customer' AND o.entity_type = 'orders'")
+def twin_names(spark, sf_dir):
+    """Rows whose short name is the name of another row."""
+    e = entities(spark, sf_dir)
+    others = e.where("entity_type = 'orders'").select(F.col("entity_name").alias("short_name"), F.col("id").alias("twin"))
+    return e.where("entity_type = 'customer'").select("id", "short_name").join(others, "short_name").select("id", "short_name", "twin")
+
+
+@query("""
+SELECT r.relationship_type, r.n, r.edge, coalesce(a.entity_name, split_part(r.edge, '>', 1)) AS from_label, coalesce(b.entity_name, split_part(r.edge, '>', 2)) AS to_label
+FROM (SELECT relationship_type, count(*) AS n, min(src || '>' || dst) AS edge FROM relations GROUP BY ALL) r LEFT JOIN entities a ON a.id = split_part(r.edge, '>', 1) LEFT JOIN entities b ON b.id = split_part(r.edge, '>', 2)
+""")
+def one_edge_of_each_kind(spark, sf_dir):
+    """The number of edges of each kind and one of them, its ends named where a vertex is there."""
+    kinds = relations(spark, sf_dir).groupBy("relationship_type").agg(counted("n"), F.min(F.concat("src", F.lit(">"), "dst")).alias("edge"))
+    names = entities(spark, sf_dir).select("id", "entity_name")
+    for side, place in (("from", 0), ("to", 1)):
+        kinds = kinds.withColumn("_end", F.split("edge", ">")[place])
+        found = names.select(F.col("id").alias("_end"), F.col("entity_name").alias("_name"))
+        kinds = kinds.join(found, "_end", "left").withColumn(f"{side}_label", F.coalesce("_name", "_end")).drop("_end", "_name")
+    return kinds
+
+
+@query("SELECT coalesce(unit, '') AS unit, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM attrs WHERE value IS NOT NULL GROUP BY ALL")
+def totals_by_unit(spark, sf_dir):
+    """Sums never mix units."""
+    rows = entities(spark, sf_dir).select(F.explode("attributes").alias("k", "v")).where("v.value is not null")
+    return rows.groupBy(F.coalesce("v.unit", F.lit("")).alias("unit")).agg(counted("n"), exact_total(F.col("v.value")).alias("total"))
+
+
+@query("SELECT r.relationship_type, count(*) AS n, count(*) FILTER (e.id IS NULL) AS dangling FROM relations r LEFT JOIN entities e ON e.id = r.dst GROUP BY ALL")
+def dangling_ends(spark, sf_dir):
+    """Edges whose target is no vertex."""
+    ids = entities(spark, sf_dir).select(F.col("id").alias("dst"), F.lit(True).alias("there"))
+    return relations(spark, sf_dir).join(ids, "dst", "left").groupBy("relationship_type").agg(counted("n"), F.count_if(F.col("there").isNull()).alias("dangling"))
+
+
+@query("SELECT doc_id, length(text) AS n FROM documents WHERE text IS NOT NULL ORDER BY n DESC, doc_id LIMIT 5", graph=False)
+def longest_documents(spark, sf_dir):
+    """The longest texts."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.length("text").cast("long").alias("n")).orderBy(F.col("n").desc(), "doc_id").limit(5)
+
+
+@query("SELECT part, count(*) AS n FROM (SELECT 'stated' AS part FROM relations WHERE stated UNION ALL SELECT 'inferred' FROM relations WHERE stated IS NOT TRUE UNION ALL SELECT 'valued' FROM attrs WHERE name = 'acctbal' AND value IS NOT NULL) GROUP BY part")
+def stated_and_inferred(spark, sf_dir):
+    """How much is stated, how much inferred, and how many carry one attribute."""
+    r = relations(spark, sf_dir).groupBy(F.when(is_stated(), "stated").otherwise("inferred").alias("part")).agg(counted("n"))
+    v = entities(spark, sf_dir).where(attribute("acctbal").isNotNull()).agg(F.lit("valued").alias("part"), counted("n"))
+    return r.unionByName(v.where("n > 0"))

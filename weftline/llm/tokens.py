@@ -36,6 +36,16 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
+
+
+def _fold() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint8)
+    t[65:91] += 32
+    t[_CLASS == _BLANK] = 32
+    return t
+
+
+_FOLD = _fold()
 #: First bytes of white space beyond ASCII in UTF-8, and control characters.
 _ODD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3, 0x1C, 0x1D, 0x1E, 0x1F])
 
@@ -145,6 +155,8 @@ class Encoder:
         """All ids, one text after another, and how many each text has; ``end`` closes every text."""
         data, off = column_bytes(col)
         n = len(off) - 1
+        if self.strategy == "word":  # the library lower-cases and drops white space as well
+            data = _FOLD[data]
         apart = np.zeros(n, bool)
         if self.strategy == "whole":
             apart[:] = True

@@ -6,7 +6,8 @@ of BUCKETS embeddings; the mean over the whole text goes through a linear softma
 trained by stochastic gradient descent in numpy. A part of the sample that training doesn't see
 fits a temperature, so that scores are probabilities, and the share of known grams below which a
 text counts as foreign; the score is scaled down by how far a text falls short of that share.
-``reject_below`` is the score that all but REJECT_RATE of that part reaches.
+``reject_below`` is half the score that all but REJECT_RATE of that part reaches: texts in
+several languages stay.
 
 As the softmax is linear in the mean, embedding times softmax is one table of BUCKETS x
 languages, and whole texts are scored by sums over it.
@@ -34,6 +35,8 @@ ROWS = 1500
 #: Of those, the part that calibrates; and pieces of a text of so many bytes that train.
 CALIBRATION = 0.25
 PIECE, PIECES = 250, 3
+#: Of a longer text the fit sees so many characters, from a place that its id decides; and texts handled at once.
+SEGMENT, PART = 4000, 200
 EPOCHS, RATE, BATCH = 4, 0.5, 64
 #: A small sample is gone over until so many steps are made.
 STEPS = 400
@@ -91,8 +94,13 @@ class LanguageModel:
                 a = int(rng.integers(0, max(1, len(r) - PIECE + 1)))
                 pieces.append(r[a : a + PIECE])
                 of.append(labels[i])
-        size = np.array([len(p) for p in pieces])
-        grams, first = text_grams(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(size)]))
+        lists, counts = [], []
+        for lo in range(0, len(pieces), 10 * PART):
+            some = pieces[lo : lo + 10 * PART]
+            g, at = text_grams(np.frombuffer(b"".join(some), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in some])]))
+            lists.append(g.astype(np.int32))
+            counts.append(np.diff(at))
+        grams, first = np.concatenate(lists), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         of = np.array(of)
         self.seen[grams] = True
         weight = (len(of) / np.maximum(np.bincount(of, minlength=len(self.languages)), 1)) ** 0.5
@@ -145,7 +153,8 @@ class LanguageModel:
         return out, known, count
 
     def _calibrate(self, texts: list[str], labels: np.ndarray) -> None:
-        raw, known, count = self.raw_scores(*column_bytes(pa.array(texts, pa.string())))
+        parts = [self.raw_scores(*column_bytes(pa.array(texts[lo : lo + PART], pa.string()))) for lo in range(0, len(texts), PART)]
+        raw, known, count = (np.concatenate(x) for x in zip(*parts))
         raw, known, labels = raw[count > 0], known[count > 0], labels[count > 0]
         if not len(raw):
             return
@@ -157,7 +166,7 @@ class LanguageModel:
             best = min(best, (loss, float(heat)))
         self.heat = best[1]
         self.usual = float(np.quantile(known, 0.01))
-        self.reject_below = float(np.quantile(self._score(raw, known)[1], REJECT_RATE)) * 0.9
+        self.reject_below = float(np.quantile(self._score(raw, known)[1], REJECT_RATE)) * 0.5
 
     def _score(self, raw: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         z = raw / self.heat
@@ -196,7 +205,9 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", ident: str =
         return LanguageModel([])
     rate = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows / n)))]), F.col("l"))
     draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = sorted(((r.l, r.t) for r in base.where(draw < rate).select("l", "t").collect()), key=lambda r: (r[0], r[1]))
+    begin = F.pmod(F.xxhash64("i", F.lit("segment")), F.greatest(F.length("t") - SEGMENT, F.lit(0)) + 1).cast("int") + 1
+    few = base.where(draw < rate).select("l", F.col("t").substr(begin, F.lit(SEGMENT)).alias("t"))
+    sample = sorted(((r.l, r.t) for r in few.collect()), key=lambda r: (r[0], r[1]))
     languages = sorted(counts)
     return LanguageModel(languages).fit([t for _, t in sample], np.array([languages.index(x) for x, _ in sample], np.int64))
 
@@ -208,7 +219,7 @@ def classify(docs: DataFrame, model: LanguageModel, text: str = "text", ident: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, text, 1_500_000):
+            for piece in slices(batch, text):
                 lang, score = sent.value.predict(piece.column(text))
                 cols = piece.columns if keep else [piece.column(ident)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(score)], [*(piece.schema.names if keep else ["doc_id"]), *(("_lang", "_score") if keep else ("lang_pred", "score"))])

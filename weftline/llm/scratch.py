@@ -25,11 +25,17 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder, to cut lineage and to read a costly stage more than once."""
+    """Tables written to the shared folder, to cut lineage and to read a costly stage more than once.
+
+    A result may read them whenever it is run, so they stay until ``clear`` is called.
+    """
+
+    made: list[str] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{scratch_dir(spark)}/weftline-{name}-{uuid.uuid4().hex}"
+        Scratch.made.append(self.base)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -41,13 +47,22 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Delete a table that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(self.spark, self.path(name))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch tables of this process; results that read them must have been written."""
+    while Scratch.made:
+        _delete(spark, Scratch.made.pop())
 
 
 #: Bytes of an Arrow batch that a Python worker gets at once, whatever the length of texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -36,6 +36,8 @@ ERRORS = 3
 SEED = 42
 #: Members of a key that one task compares at most; a larger key is dealt in pairs of blocks.
 BLOCK = 20_000
+#: Fingerprints whose keys are made at once.
+KEYED = 4_000
 _TABLE = lower_table(gap=b" \x09\x0a\x0b\x0c\x0d")
 #: Each bit of a byte in a byte lane of its own.
 _LANES = np.packbits(np.zeros((256, 64), np.uint8) | np.repeat(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1), 8, axis=1) * np.tile(np.array([0, 0, 0, 0, 0, 0, 0, 1], np.uint8), 8), axis=1).view(">u8").ravel().astype(np.uint64)
@@ -89,9 +91,9 @@ def golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     segment = np.arange(65536, dtype=np.uint32)
     own = np.zeros(65536, np.int64)
     near: list[np.ndarray] = []
-    for lo in range(0, 65536, 4096):
-        d = np.bitwise_count(segment[lo : lo + 4096, None] ^ words[None, :])
-        own[lo : lo + 4096] = d.argmin(1)
+    for lo in range(0, 65536, 1024):
+        d = np.bitwise_count(segment[lo : lo + 1024, None] ^ words[None, :])
+        own[lo : lo + 1024] = d.argmin(1)
         near.append(np.argwhere(d <= ERRORS + 1) + [lo, 0])
     near = np.concatenate(near)
     return own, near[:, 1], np.searchsorted(near[:, 0], np.arange(65537))
@@ -190,11 +192,12 @@ def near_links(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp, ident = (batch.column(c).to_numpy() for c in ("fp", "id"))
-            for lo in range(0, len(fp), 20_000):
-                of, key, filed = keys(fp[lo : lo + 20_000].view(np.uint64))
+            for lo in range(0, len(fp), KEYED):
+                of, key, filed = keys(fp[lo : lo + KEYED].view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[lo + of]), pa.array(ident[lo + of]), pa.array(filed)], ["key", "fp", "id", "filed"])
 
-    rows = nodes.select("fp", "id").mapInArrow(run, "key long, fp long, id long, filed boolean")
+    # few bytes, many keys: every task gets a share of the fingerprints
+    rows = nodes.select("fp", "id").repartition(parts(nodes.sparkSession)).mapInArrow(run, "key long, fp long, id long, filed boolean")
     rows = scratch.keep(rows.repartition(parts(nodes.sparkSession), "key"), "keys")
     crowd = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     crowd = scratch.keep(crowd.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "crowd")

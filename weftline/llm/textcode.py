@@ -53,7 +53,7 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in pieces of about ``most`` text bytes (one longer text: a piece of its own)."""
     _, off = column_bytes(batch.column(column))
     start, n = 0, batch.num_rows

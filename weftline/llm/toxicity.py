@@ -42,6 +42,8 @@ EPOCHS, BATCH, RATE, DECAY = 5, 128, 0.01, 1e-5
 #: A small sample is gone over until so many steps are made.
 STEPS = 250
 THRESHOLD = 0.3
+#: Negative texts of one repeated word that are added to the sample.
+ECHOES = 300
 _WORD = bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 _TABLE = lower_table(word=_WORD)
 _GRAM = constants(6, 41)
@@ -304,6 +306,15 @@ def _vocabulary(parts: list[Text]) -> np.ndarray:
     return np.sort(key[often[total[often] >= SEEN]])
 
 
+def _with_echoes(texts: list[str], label: np.ndarray, late: np.ndarray, rng: np.random.Generator) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The sample and ECHOES more negative texts, each one clean word over and over: such rows say nothing of toxicity."""
+    clean = np.flatnonzero((label == 0) & ~late)
+    words = [w for i in rng.permutation(clean)[:ECHOES].tolist() for w in (texts[i] or "").split()[:50]]
+    count = min(ECHOES, len(clean) // 10, len(words))
+    echoes = [" ".join([words[int(k)]] * int(n)) for k, n in zip(rng.integers(0, max(1, len(words)), count), rng.integers(5, 2 * WINDOW, count))]
+    return [*texts, *echoes], np.concatenate([label, np.zeros(len(echoes), np.int64)]), np.concatenate([late, np.zeros(len(echoes), bool)])
+
+
 def fit(texts: list[str], label: np.ndarray, prior: float | None = None) -> Network:
     net = Network(np.zeros(0, np.uint64))
     if not len(label) or label.min() == label.max() or not any(len(_text(texts[lo : lo + PART]).text) for lo in range(0, len(texts), PART)):
@@ -313,6 +324,7 @@ def fit(texts: list[str], label: np.ndarray, prior: float | None = None) -> Netw
     late = rng.random(len(label)) < CALIBRATION
     if label[late].sum() < 5 or label[~late].sum() < 5:
         late[:] = False
+    texts, label, late = _with_echoes(texts, label, late, rng)
     parts, labels = _parts(texts, label, rng.permutation(np.flatnonzero(~late)))
     net = Network(_vocabulary(parts))
     net.fit(parts, labels, rng)
@@ -345,7 +357,7 @@ def scored(docs: DataFrame, net: Network, text: str = "text", ident: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text", 1_000_000):
+            for piece in slices(batch, "text", 700_000):
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sent.value.score(piece.column("text")), pa.float64())], ["doc_id", "score"])
 
     base = docs.select(F.col(ident).alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -176,7 +176,7 @@ def packed(docs: DataFrame, tokenizer: str, end: int = END, text: str = "text",
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, k) for c, (_, k) in zip(cols[1:], _OUT))], ["doc_id", *(n for n, _ in _OUT)])
 
         for batch in batches:
-            for piece in slices(batch, "text", 2_000_000):
+            for piece in slices(batch, "text", 3_000_000):
                 ids, sizes = enc.encode(piece.column("text"), end)
                 yield out(list(packer.add(piece.column("doc_id").to_pylist(), sizes, ids)))
         yield out(list(packer.pack(True)))

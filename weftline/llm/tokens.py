@@ -109,7 +109,7 @@ class Encoder:
             if self.strategy == "space":
                 ids = self._one_call(b"".join(some).decode())
                 ends = np.cumsum(self.length[ids])
-                want = np.cumsum([len(k) for k in some])
+                want = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
                 to = np.minimum(np.searchsorted(ends, want), len(ends) - 1)
                 ok = bool((ends[to] == want).all())
                 start, stop = np.concatenate([[0], to[:-1] + 1]), to + 1
@@ -121,7 +121,7 @@ class Encoder:
             if not ok:
                 break
             raw, w = ids.astype(self.kind).tobytes(), self.width
-            self.young.update((k, raw[a:b]) for k, a, b in zip(some, (start * w).tolist(), (stop * w).tolist()))
+            self.young.update(zip(some, [raw[a:b] for a, b in zip((start * w).tolist(), (stop * w).tolist())]))
             done += len(some)
         if done < len(keys):
             rest = [k for k in keys if k not in self.young]
@@ -137,18 +137,13 @@ class Encoder:
         pool = [memo.get(k) for k in keys]
         for i, x in whole.items():
             pool[i] = x
-        open_ = [i for i, x in enumerate(pool) if x is None]
-        new = []
-        for i in open_:
-            k = keys[i]
-            if (x := young.pop(k, None)) is None:
-                new.append(i)
-            else:
-                memo[k] = pool[i] = x
-        if new:
-            self._learn([keys[i] for i in new])
-            for i in new:
-                pool[i] = young[keys[i]]
+        missed = [k for k, x in zip(keys, pool) if x is None]
+        if missed:
+            new = [k for k in missed if k not in young]
+            memo.update([(k, young.pop(k)) for k in missed if k in young])  # came again: kept from now on
+            if new:
+                self._learn(new)
+            pool = [x if x is not None else memo[k] if k in memo else young[k] for k, x in zip(keys, pool)]
         return pool
 
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +169,7 @@ class Encoder:
         first = np.searchsorted(place, off)
         pieces = pa.BinaryArray.from_buffers(pa.binary(), len(place) - 1, [None, pa.py_buffer(place.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
         codes = pieces.indices.to_numpy().astype(np.int64)
-        keys = pieces.dictionary.to_pylist()
+        keys = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         whole = {}
         if apart.any():
             some = np.flatnonzero(apart & (np.diff(off) > 0))
@@ -185,7 +180,7 @@ class Encoder:
             codes = np.insert(codes, first[1:], len(pool))
             pool.append(np.array([end], self.kind).tobytes())
             count = count + 1
-        size = np.array([len(x) for x in pool], np.int64) // self.width
+        size = np.fromiter(map(len, pool), np.int64, len(pool)) // self.width
         lead = np.cumsum(size) - size
         each = size[codes]
         ids = np.frombuffer(b"".join(pool), self.kind)[ranges(lead[codes], each)]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.expressions import model_of
+from weftline.functions.lineage import settled
 from weftline.operators import communities as com
 from weftline.operators import extract, reconcile, text, vector
 from weftline.schema import ATTRIBUTES
@@ -56,12 +57,12 @@ class Graph:
 def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.Extractor = extract.identifiers, create: bool = True) -> Graph:
     """Read every model file below root: documents, chunks, prose entities, then the stated layer over them, communities, vectors."""
     files = reader.sources(spark, root)
-    numbers = reader.models(files).checkpoint()
-    documents = reader.documents(files).withColumn("id", F.col("_key")).checkpoint()
+    numbers = settled(reader.models(files))
+    documents = settled(reader.documents(files).withColumn("id", F.col("_key")))
     parts = text.chunks(documents.select("id", F.col("content").alias("text"), F.col("files")[0].alias("path")), chunk, ident="id")
     of = documents.select(F.col("id").alias("full_doc_id"), "files", "models")
     chunks = parts.withColumnRenamed("id", "full_doc_id").join(of, "full_doc_id").withColumn("id", F.concat(F.lit("chunk-"), F.sha1(F.concat_ws(":", "full_doc_id", F.col("chunk_order_index").cast("string")))))
-    chunks = vector.embed(chunks, "content").checkpoint()
+    chunks = settled(vector.embed(chunks, "content"))
     named, related, mentions = extract.extract(chunks.select("id", F.col("models")[0].alias("model"), "content"), extractor)
     stamps = reconcile.stamp(named, mentions, chunks.select(F.col("id").alias("src"), F.col("full_doc_id").alias("dst")), documents.select("id", "file_name", "models"))
     null = lambda kind: F.lit(None).cast(kind)
@@ -71,11 +72,11 @@ def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.
     )
     related = related.select("src", "dst", "type", "relationship_type", F.lit("").alias("description"), null("boolean").alias("stated"), null("string").alias("source_file"), null("int").alias("source_line"))
     elements, stated = reader.read(files)
-    entities, edges = reconcile.apply(elements.checkpoint(), stated.checkpoint(), numbers, named.checkpoint(), related.checkpoint(), create)
-    entities = vector.embed(entities, "description").checkpoint()
-    edges = vector.embed(edges, "description").withColumn("weight", F.lit(1.0)).withColumn("order", F.lit(1)).checkpoint()
+    entities, edges = reconcile.apply(settled(elements), settled(stated), numbers, settled(named), settled(related), create)
+    entities = settled(vector.embed(entities, "description"))
+    edges = settled(vector.embed(edges, "description").withColumn("weight", F.lit(1.0)).withColumn("order", F.lit(1)))
     levels = com.hierarchy(edges.select("src", "dst"))
-    members = levels.join(entities.select("id", "entity_name", "entity_type"), "id").checkpoint()
+    members = settled(levels.join(entities.select("id", "entity_name", "entity_type"), "id"))
     reports = com.reports(members, entities.count()).withColumn("_key", F.concat_ws("-", F.col("level").cast("string"), F.sha1("cluster")))
     reports = vector.embed(reports.withColumn("report_string", F.concat_ws(": ", "title", "report_json.summary")), "report_string")
     belongs = members.select(F.col("id").alias("src"), F.concat_ws("-", F.col("level").cast("string"), F.sha1("cluster")).alias("dst"), F.lit("IN_COMMUNITY").alias("type"))

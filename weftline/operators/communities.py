@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.lineage import settled
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every edge end; component is the least id reachable.
@@ -13,13 +15,13 @@ def components(edges: DataFrame) -> DataFrame:
     label of that label's vertex, which halves the distances. Labels are cut from their lineage
     by a checkpoint in the shared folder.
     """
-    both = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct().checkpoint()
-    labels = both.groupBy("id").agg(F.min("other").alias("m")).select("id", F.least("id", "m").alias("component")).checkpoint()
+    both = settled(edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct())
+    labels = settled(both.groupBy("id").agg(F.min("other").alias("m")).select("id", F.least("id", "m").alias("component")))
     while True:
         near = both.join(labels.select(F.col("id").alias("other"), F.col("component").alias("_c")), "other").groupBy("id").agg(F.min("_c").alias("_c"))
         new = labels.join(near, "id").select("id", F.least("component", "_c").alias("component"))
         jump = new.select(F.col("id").alias("component"), F.col("component").alias("_j"))
-        new = new.join(jump, "component").select("id", F.least("component", "_j").alias("component")).checkpoint()
+        new = settled(new.join(jump, "component").select("id", F.least("component", "_j").alias("component")))
         changed = new.join(labels.withColumnRenamed("component", "_old"), "id").where(F.col("component") != F.col("_old"))
         if changed.isEmpty():
             return new
@@ -28,11 +30,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
     """``(id, community)``: each round a vertex takes the label most of its neighbours have (ties: the least)."""
-    both = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct().checkpoint()
+    both = settled(edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct())
     labels = both.select("id").distinct().withColumn("community", F.col("id"))
     for _ in range(rounds):
         votes = both.join(labels.select(F.col("id").alias("other"), "community"), "other").groupBy("id", "community").agg(F.count(F.lit(1)).alias("n"))
-        labels = votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "community")).alias("b")).select("id", F.col("b.community").alias("community")).checkpoint()
+        labels = settled(votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "community")).alias("b")).select("id", F.col("b.community").alias("community")))
     return labels
 
 

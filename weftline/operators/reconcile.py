@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.expressions import entity_key, is_stated, model_of
+from weftline.functions.lineage import settled
 from weftline.operators import resolve
 from weftline.operators.naming import disambiguate
 from weftline.schema import ATTRIBUTES, DECLARED
@@ -83,7 +84,7 @@ def apply(elements: DataFrame, relations: DataFrame, numbers: DataFrame, entitie
     relationship_type, description, stated, source_file, source_line).
     """
     named = disambiguate(elements.withColumn("model", model_of(F.col("file"))))
-    named = named.join(numbers, "model").checkpoint()
+    named = settled(named.join(numbers, "model"))
     sole = F.col("display") == F.upper("name")
 
     def known(rows: DataFrame) -> DataFrame:
@@ -97,11 +98,11 @@ def apply(elements: DataFrame, relations: DataFrame, numbers: DataFrame, entitie
         return resolve.merges(rows.select("id", F.col("entity_name").alias("name"), F.explode("models").alias("model")), of)
 
     def fold(rows: DataFrame, links: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-        merged = second_names(rows, ids).checkpoint()
+        merged = settled(second_names(rows, ids))
         prose = merged.join(rows.select("id", F.col("description").alias("_d")), "id").groupBy("into").agg(F.min("_d").alias("_d"))
         rows = rows.join(merged.select("id"), "id", "left_anti").join(prose.withColumnRenamed("into", "id"), "id", "left")
         rows = rows.withColumn("description", F.when(is_stated() & F.col("_d").isNotNull(), F.col("_d")).otherwise(F.col("description"))).drop("_d")
-        return rows.checkpoint(), repoint(links, merged).checkpoint()
+        return settled(rows), settled(repoint(links, merged))
 
     def identified(rows: DataFrame) -> DataFrame:
         """Elements with the id of the row that is theirs, null if there is none."""
@@ -110,7 +111,7 @@ def apply(elements: DataFrame, relations: DataFrame, numbers: DataFrame, entitie
         return named.join(ids, match, "left").drop("_km", "lookup")
 
     entities, edges = fold(entities, edges, identified(entities).where("id is not null"))
-    mine = identified(entities).checkpoint()
+    mine = settled(identified(entities))
     notes = mine.where("id is not null").groupBy("id").agg(*[F.max_by(c, F.struct("file", "line")).alias(f"_{c}") for c in ("file", "line", "attributes", "short")])
     entities = entities.join(notes, "id", "left")
     entities = entities.withColumn("source_file", F.coalesce("_file", "source_file")).withColumn("source_line", F.coalesce("_line", "source_line"))
@@ -123,7 +124,7 @@ def apply(elements: DataFrame, relations: DataFrame, numbers: DataFrame, entitie
             F.array(F.max_by("file", "line")).alias("files"), F.max_by("attributes", "line").alias("attributes"), F.nullif(F.max_by("short", "line"), F.lit("")).alias("short_name"), F.max_by("file", "line").alias("source_file"),
             F.max("line").alias("source_line"), F.lit(True).alias("stated"),
         )
-        entities = entities.unionByName(made.select(entities.columns)).checkpoint()
+        entities = settled(entities.unionByName(made.select(entities.columns)))
         entities, edges = fold(entities, edges, identified(entities).where("id is not null"))
     entities = searchable(entities)
     keyed = identified(entities).select("model", "qualified", F.coalesce("id", own).alias("id"))

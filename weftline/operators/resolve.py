@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.expressions import alias_key
+from weftline.functions.lineage import settled
 
 
 def upper_path(reference: Column) -> Column:
@@ -70,15 +71,15 @@ def follow(references: DataFrame, elements: DataFrame, ident: str = "ref_id", lo
     parts = F.filter(F.split(F.regexp_replace(F.trim("reference"), "^['\"]+|['\"]+$", ""), r"\."), lambda s: s != "")
     paths = references.withColumn("_parts", parts).where(F.size("_parts") >= 2)
     owner = F.regexp_replace(F.upper("qualified"), "::[^:]*$", "")
-    children = elements.where(F.col("qualified").contains("::")).groupBy("model", owner.alias("_scope"), F.element_at(F.split(F.upper("qualified"), "::"), -1).alias("_name")).agg(F.max("qualified").alias("_child")).checkpoint()
-    around = scopes(elements).select("model", F.col("qualified").alias("hit"), F.upper("scope").alias("_scope"), "step").checkpoint()
+    children = settled(elements.where(F.col("qualified").contains("::")).groupBy("model", owner.alias("_scope"), F.element_at(F.split(F.upper("qualified"), "::"), -1).alias("_name")).agg(F.max("qualified").alias("_child")))
+    around = settled(scopes(elements).select("model", F.col("qualified").alias("hit"), F.upper("scope").alias("_scope"), "step"))
     heads = paths.select(ident, "model", F.col("_parts")[0].alias("reference"), "source")
     at = nearest(heads, suffixes(elements), ident).join(paths.select(ident, "model", "_parts"), ident)
     done = None
     for i in range(1, longest):
         here = at.where(F.size("_parts") > i).withColumn("_name", F.upper(F.col("_parts")[i]))
         step = here.join(around, ["model", "hit"]).join(children, ["model", "_scope", "_name"])
-        at = step.groupBy(ident).agg(F.min_by("_child", "step").alias("hit")).join(paths.select(ident, "model", "_parts"), ident).checkpoint()
+        at = settled(step.groupBy(ident).agg(F.min_by("_child", "step").alias("hit")).join(paths.select(ident, "model", "_parts"), ident))
         ended = at.where(F.size("_parts") == i + 1).select(ident, "hit")
         done = ended if done is None else done.unionByName(ended)
         if at.where(F.size("_parts") > i + 1).isEmpty():

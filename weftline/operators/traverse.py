@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.lineage import settled
+
 OUT, IN, ANY = "outbound", "inbound", "any"
 
 
@@ -47,8 +49,8 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
             out = found if out is None else out.unionByName(found)
         if depth < most:
             front = moved(every).withColumn("depth", F.lit(depth))
-            if most > 3:  # else every step would compute all those before it again
-                front = front.checkpoint()
+            if most > 2:  # else every step would compute all those before it again
+                front = settled(front)
     return out.groupBy("start", "vertex").agg(F.min("depth").alias("depth"))
 
 
@@ -89,12 +91,12 @@ def dependency_tree(edges: DataFrame, root: str, most: int = 30) -> DataFrame:
     out = front
     for _ in range(most):
         front = front.where("not cycle").join(every, F.col("vertex") == F.col("src"))
-        front = front.select(F.col("dst").alias("vertex"), F.col("src").alias("parent"), F.concat("way", F.array("dst")).alias("way"), F.array_contains("way", F.col("dst")).alias("cycle")).checkpoint()
+        front = settled(front.select(F.col("dst").alias("vertex"), F.col("src").alias("parent"), F.concat("way", F.array("dst")).alias("way"), F.array_contains("way", F.col("dst")).alias("cycle")))
         if front.isEmpty():
             break
         out = out.unionByName(front)
     # places below a place that isn't its vertex's first are not expanded; parents are settled before children
-    out = out.withColumn("depth", F.size("way") - 1).checkpoint()
+    out = settled(out.withColumn("depth", F.size("way") - 1))
     first = out.where("not cycle").groupBy("vertex").agg(F.min("way").alias("first_way"))
     kept = out.alias("o")
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size("way") - 1, F.lit(1))), lambda i: F.slice("way", F.lit(1), i))

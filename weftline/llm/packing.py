@@ -1,8 +1,8 @@
 """Order-preserving packing of documents into sequences by dynamic programming.
 
 Documents are laid end to end in ascending doc_id and cut into windows of at most ``most`` ids.
-Windows may be cut at document ends (nearly free), after sentence ends (a small penalty) and, so
-that no stretch is without a cut, at places in between (a larger one). With f the least cost up to a
+Windows may be cut at document ends, after sentence ends (a little dearer) and, so that no
+stretch is without a cut, at places in between (dearer still). With f the least cost up to a
 cut at place p, f(p) = pen(p) + min over cuts q in [p - most, p) of f(q) + padding(p - q), where
 the padding is most - (p - q), or nothing if p - q is a power of two. The first kind is a
 minimum of f(q) + q over a sliding window, kept in a monotone queue; the powers of two are
@@ -33,10 +33,11 @@ from weftline.llm.tokens import encoder
 
 MOST = 2048
 END = 1
-#: Cost, in padded ids, of a cut after a document, after a sentence and elsewhere.
-DOCUMENT, SENTENCE, ELSEWHERE = 1, 3, 12
+#: Cost, in padded ids, of a cut after a document, after a sentence and elsewhere. What every cut costs keeps windows full
+#: rather than many and short.
+DOCUMENT, SENTENCE, ELSEWHERE = 24, 25, 30
 #: The longest stretch without a cut.
-STRETCH = 64
+STRETCH = 32
 #: Ids weighed at once; a longer partition goes in such pieces, the open window carried over.
 HORIZON = 400_000
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.expressions import words
+from weftline.functions.lineage import settled
 
 K1, B = 1.2, 0.75
 #: The constant of reciprocal rank fusion.
@@ -40,7 +41,8 @@ def bm25(docs: DataFrame, query: list[str], ident: str = "doc_id", text: str = "
     terms = sorted(set(query))
     rows = docs.select(F.col(ident), words(F.coalesce(F.col(text), F.lit(""))).alias("_w"))
     times = [F.size("_w") - F.size(F.array_remove("_w", t)) for t in terms]
-    rows = rows.select(ident, F.size("_w").alias("length"), *[n.alias(f"_tf{i}") for i, n in enumerate(times)])
+    # a few numbers per document, read for the statistics and for the scores
+    rows = settled(rows.select(ident, F.size("_w").alias("length"), *[n.alias(f"_tf{i}") for i, n in enumerate(times)]))
     stats = rows.agg(F.count(F.lit(1)).alias("_n"), F.avg("length").alias("_avg"), *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(terms))])
     rows = rows.where(F.greatest(F.lit(0), *[F.col(f"_tf{i}") for i in range(len(terms))]) > 0).crossJoin(F.broadcast(stats))  # one row of statistics
     score = F.lit(0.0)

@@ -39,18 +39,24 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
     """
     steps = oriented(edges if where is None else edges.where(where), direction)
     every = steps.select("at", "to").distinct()
+    if most > 2:  # every step reads the edges
+        every = settled(every)
     final = every if last is None else steps.where(last).select("at", "to").distinct()
     front = starts.select(F.col(start).alias("start")).distinct().withColumn("vertex", F.col("start")).withColumn("depth", F.lit(0))
     out = front if least == 0 else None
     for depth in range(1, most + 1):
-        moved = lambda e: front.join(e, front.vertex == e.at).select("start", F.col("to").alias("vertex")).distinct()  # noqa: B023, E731
+        before = front
+
+        def moved(by: DataFrame, before: DataFrame = before, depth: int = depth) -> DataFrame:
+            return before.join(by, before.vertex == by.at).select("start", F.col("to").alias("vertex")).distinct().withColumn("depth", F.lit(depth))
+
+        if depth < most or last is None:
+            front = moved(every)
+            if most > 2 and depth < most:  # else every step would compute all those before it again
+                front = settled(front)
         if depth >= least:
-            found = moved(final).withColumn("depth", F.lit(depth))
+            found = front if last is None else moved(final)
             out = found if out is None else out.unionByName(found)
-        if depth < most:
-            front = moved(every).withColumn("depth", F.lit(depth))
-            if most > 2:  # else every step would compute all those before it again
-                front = settled(front)
     return out.groupBy("start", "vertex").agg(F.min("depth").alias("depth"))
 
 

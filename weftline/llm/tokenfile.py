@@ -32,7 +32,7 @@ from weftline.llm.textcode import slices
 from weftline.llm.tokens import encoder
 
 #: Text bytes of a block, about; a document is never cut, so a long one makes a long block.
-BLOCK = 3_000_000
+BLOCK = 2_000_000
 END = 2
 _HEAD = struct.Struct("<4sIQQQ")
 _MAGIC = b"WTOK"

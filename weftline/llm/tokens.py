@@ -20,7 +20,7 @@ import pyarrow as pa
 from weftline.llm.textcode import column_bytes, ranges
 
 #: Pieces that came in two batches and are kept (beyond that the later half goes), and pieces that came in one.
-KEPT, YOUNG = 250_000, 350_000
+KEPT, YOUNG = 150_000, 200_000
 #: New pieces that one call of the library encodes; it is slower on long texts.
 GROUP = 500
 

@@ -22,6 +22,17 @@ def test_copies_keep_their_text():
     assert main_texts([page(1, "<p>Same</p>")] * 6) == ["Head 1\n\nSame"] * 6
 
 
+def test_template_within_main_is_dropped_without_names():
+    box = '<div class="x7"><p>Anna writes for us.</p></div><p>All rights <i>remain</i>.</p>'
+    pages = [page(i, f"<p>Text {i}</p>{'<p>Twice</p>' * (1 + i % 2)}{box}<p>End of {i}</p>") for i in range(5)]
+    assert main_texts(pages) == [f"Head {i}\n\nText {i}\n\nEnd of {i}" for i in range(5)]
+    assert main_texts([*pages, "", None])[:5] == main_texts(pages)
+    assert main_texts([p.replace("<article>", f"<article class='post-{i}'>") for i, p in enumerate(pages)]) == main_texts(pages)
+    # pages that share most are near copies, and a counter doesn't make a copy another article
+    near = [page(1, f"<p>One long shared paragraph here.</p><p>{x}</p>") for x in "abcd"]
+    assert main_texts(near) == [f"Head 1\n\nOne long shared paragraph here.\n\n{x}" for x in "abcd"]
+
+
 def test_without_a_named_main_container():
     def plain(i):
         return f'<html><body><div class="top"><a href="/a">Alpha</a> <a href="/b">Beta</a></div><div class="c{0}"><p>Long text number {i} goes on and on.</p><p>More of {i}.</p></div><div class="bottom">fine print</div></body></html>'

@@ -1,15 +1,20 @@
 """Main text of web pages by deducing the template that pages of a host share.
 
 Pages of one host are read in groups of at most GROUP pages. Each page becomes a row of tokens:
-tags with the path of containers they stand in, and words with that path. Tokens that occur
+tags with the path of containers they stand in, and words with that path; in a main container
+whole blocks of text stand for their words. Tokens that occur
 equally often in every page of the group (equal occurrence vectors) form an equivalence class.
 The class that occurs once per page, less those tokens whose order differs between pages, is the
 root of the template; a class that occurs n times per page nests in the one root slot that holds
 all its occurrences, if its tokens alternate there in one order, and is a repeated part of it.
 What stands between two root tokens is a slot. A slot is judged over all pages of the group: by
 the containers that it stands in, by its share of link text (repeated parts with links are
-menus), and by its amount of text. The article is what the main slots hold; where the markup
-names no main container, it is the container that holds most unlinked text over the group.
+menus), and by its amount of text. The article is what the main slots hold, less the blocks of
+text that every page with a main container has there: those are template, such as a notice or an
+author's box, whatever the markup calls them. A block that varies in part stays whole. If the
+different rests of the pages hold less text than what they share, the pages are copies of one
+article and keep it. Where the markup names no main container, the article is the container that
+holds most unlinked text over the group.
 
 A host with one page is a group of its own: each token is in the class of its count and every
 rule works on that page alone. Hosts with more than 1/1000 of all pages are dealt by page_id.
@@ -87,6 +92,9 @@ class Page:
     def __init__(self, source: str | None):
         self.tokens: list[str] = []  # keys of tags and words
         self.nodes: list[tuple[int, str, Node, int]] = []  # (place among tokens, text, where it stands, block)
+        self.main: dict[int, str] = {}  # tokens of blocks in main containers
+        self._open: list[str] = []  # texts of the block that is being read, in a main container
+        self._at = ""
         source = source or ""
         stack = [Node("", "", False, False, False, False)]
         at, block, end = 0, 0, len(source)
@@ -101,6 +109,8 @@ class Page:
             if not tag:
                 continue
             tag = tag.lower()
+            if tag not in INLINE and (m[1] or tag not in RAW or m[3].endswith("/")):
+                self._close(block)
             if m[1]:
                 if any(n.tag == tag for n in stack):
                     while stack.pop().tag != tag:
@@ -132,12 +142,26 @@ class Page:
                     self._text(" ", stack[-1], block)
             if tag not in INLINE:
                 block += 1
+        self._close(block)
 
     def _text(self, raw: str, where: Node, block: int) -> None:
         text = entities.unescape(raw)
         self.nodes.append((len(self.tokens), text, where, block))
-        if where.out or not where.main:  # words of the article are no part of a template
+        if where.out or not where.main:
             self.tokens += [f"'{w}|{where.path}" for w in text.split()]
+        elif text.strip():
+            # classes of containers can hold an article's number, so the element's name is all of the path
+            self._at = self._at if self._open else where.path.rpartition(">")[2].partition(".")[0]
+            self._open.append(text)
+        elif self._open:
+            self._open.append(text)
+
+    def _close(self, block: int) -> None:
+        """The block's text as one token: a word alone says little amid the words of an article."""
+        if self._open:
+            self.main[block] = f"'{' '.join(''.join(self._open).split())}|{self._at}"
+            self.tokens.append(self.main[block])
+            self._open.clear()
 
 
 class Template:
@@ -215,6 +239,19 @@ def _ascending(order: list[str], rank: dict[str, int]) -> list[str]:
     return out[::-1]
 
 
+def shared(pages: list[Page]) -> set[str]:
+    """Tokens of blocks that all pages with text in a main container have there, if those pages differ otherwise."""
+    held = [list(p.main.values()) for p in pages if p.main]
+    if len(held) < 2:
+        return set()
+    common = set(held[0]).intersection(*held[1:])
+    if not common:
+        return common
+    rests = {tuple(t for t in ts if t not in common) for ts in held}
+    size = lambda ts: sum(len(t.rpartition("|")[0]) - 1 for t in ts)
+    return common if len(rests) > 1 and sum(map(size, rests)) > size(common) else set()
+
+
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of a group that shares a host."""
     pages = [Page(s) for s in sources]
@@ -235,6 +272,7 @@ def main_texts(sources: list[str | None]) -> list[str]:
                 if not where.out and not where.link and slot not in menus:
                     amount[where.path.rpartition(">")[0]] += len(text.strip())
         home = max(amount, key=lambda x: (amount[x], x)) if amount else ""
+    template_text = shared(pages)
     out = []
     for k, p in enumerate(pages):
         own = named and any(where.main and not where.out and text.strip() for _, text, where, _ in p.nodes)
@@ -242,6 +280,8 @@ def main_texts(sources: list[str | None]) -> list[str]:
         for slot, (_, text, where, block) in zip(template.slots(k, p.nodes), p.nodes):
             if where.out or (not where.main if own else slot in menus or not where.path.startswith(home)):
                 continue
+            if own and p.main.get(block) in template_text:
+                continue
             blocks[block].append(text)
         texts = (" ".join("".join(x).split()) for x in blocks.values())
         out.append("\n\n".join(x for x in texts if x))

@@ -40,6 +40,19 @@ def test_without_a_named_main_container():
     assert main_texts([plain(i) for i in range(6)]) == [f"Long text number {i} goes on and on.\n\nMore of {i}." for i in range(6)]
 
 
+def test_pages_without_main_beside_pages_with_one():
+    def plain(i):
+        return f'<html><body><div class="top"><p>Site title</p></div><div class="c"><p>Long text number {i} goes on and on.</p><p>More of {i}.</p></div><div class="cc"><p>fine print</p></div></body></html>'
+
+    alone = [f"Long text number {i} goes on and on.\n\nMore of {i}." for i in range(4)]
+    assert main_texts([plain(i) for i in range(4)]) == alone
+    named = [page(i, f"<p>Text {i}</p>") for i in range(4)]
+    empty = '<html><body><div class="top"><p>Site title</p></div><article><p> </p></article><div class="bottom"><p>fine print</p></div></body></html>'
+    texts = [f"Head {i}\n\nText {i}" for i in range(4)]
+    assert main_texts([*(plain(i) for i in range(4)), *named, empty]) == [*alone, *texts, ""]
+    assert main_texts([plain(2), *named]) == [alone[2], *texts] and main_texts([empty]) == [""]
+
+
 @pytest.mark.parametrize("source", [None, "", "   ", "<", "<p", "<!-- open", "<script>never", "a < b & c", "</p></p>", "<p>x" * 3000, "<b>" * 2000])
 def test_broken_markup(source):
     assert isinstance(main_texts([source])[0], str)

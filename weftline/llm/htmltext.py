@@ -13,13 +13,13 @@ menus), and by its amount of text. The article is what the main slots hold, less
 text that every page with a main container has there: those are template, such as a notice or an
 author's box, whatever the markup calls them. A block that varies in part stays whole. If the
 different rests of the pages hold less text than what they share, the pages are copies of one
-article and keep it. Where the markup names no main container, the article is the container that
-holds most unlinked text over the group.
+article and keep it. Pages whose markup names no main container are judged among themselves: there
+the article is the container that holds most unlinked text over those pages of the group.
 
 A host with one page is a group of its own: each token is in the class of its count and every
 rule works on that page alone. Hosts with more than 1/1000 of all pages are dealt by page_id.
 
-Defined cases: null or empty html gives an empty text; null urls count as one host; broken
+Defined cases: null or empty html and a main container without text give an empty text; null urls count as one host; broken
 markup is read as far as it goes (an unclosed script, style or comment takes the rest); repeated
 rows give a row each; empty tables give no rows; other columns are ignored.
 """
@@ -30,6 +30,7 @@ import html as entities
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -93,6 +94,7 @@ class Page:
         self.tokens: list[str] = []  # keys of tags and words
         self.nodes: list[tuple[int, str, Node, int]] = []  # (place among tokens, text, where it stands, block)
         self.main: dict[int, str] = {}  # tokens of blocks in main containers
+        self.has_main = False
         self._open: list[str] = []  # texts of the block that is being read, in a main container
         self._at = ""
         source = source or ""
@@ -136,6 +138,7 @@ class Page:
                 out = top.out or tag in FURNITURE or bool(words & NAMES) or "hidden" in words or tag == "header" and not top.main
                 path = top.path if tag in INLINE else f"{top.path}>{tag}{kind}"
                 self.tokens.append(f"{tag}|{path}")
+                self.has_main |= main and not out
                 if tag not in VOID and not m[3].endswith("/"):
                     stack.append(Node(tag, path, out, main, top.link or tag == "a", tag in INLINE))
                 elif tag == "br":
@@ -170,6 +173,7 @@ class Template:
     def __init__(self, pages: list[Page]):
         counts = [Counter(p.tokens) for p in pages]
         common = set(counts[0]).intersection(*counts[1:])
+        self.common = common
         classes: dict[tuple[int, ...], list[str]] = defaultdict(list)
         for t in common:
             classes[tuple(c[t] for c in counts)].append(t)
@@ -240,51 +244,55 @@ def _ascending(order: list[str], rank: dict[str, int]) -> list[str]:
 
 
 def shared(pages: list[Page]) -> set[str]:
-    """Tokens of blocks that all pages with text in a main container have there, if those pages differ otherwise."""
-    held = [list(p.main.values()) for p in pages if p.main]
-    if len(held) < 2:
+    """Tokens of blocks that all of these pages have in a main container, if the pages differ otherwise."""
+    if len(pages) < 2:
         return set()
-    common = set(held[0]).intersection(*held[1:])
-    if not common:
-        return common
+    held = [list(p.main.values()) for p in pages]
+    common = Template(pages).common.intersection(held[0])
     rests = {tuple(t for t in ts if t not in common) for ts in held}
     size = lambda ts: sum(len(t.rpartition("|")[0]) - 1 for t in ts)
     return common if len(rests) > 1 and sum(map(size, rests)) > size(common) else set()
 
 
+def _text(kept: Iterator[tuple[str, int]]) -> str:
+    """Text nodes (text, block) as paragraphs."""
+    blocks: dict[int, list[str]] = defaultdict(list)
+    for text, block in kept:
+        blocks[block].append(text)
+    texts = (" ".join("".join(x).split()) for x in blocks.values())
+    return "\n\n".join(x for x in texts if x)
+
+
+def _unnamed(pages: list[Page]) -> Iterator[str]:
+    """Texts of pages without a main container: what the container with most unlinked text over all of them holds."""
+    template = Template(pages)
+    placed = [list(zip(template.slots(k, p.nodes), p.nodes)) for k, p in enumerate(pages)]
+    linked, mass, amount = Counter(), Counter(), Counter()
+    for slot, (_, text, where, _) in chain.from_iterable(placed):
+        n = len(text.strip())
+        mass[slot] += n
+        linked[slot] += n * where.link
+    menus = {s for s in template.repeated if linked[s] > LINKED * mass[s]}
+    for slot, (_, text, where, _) in chain.from_iterable(placed):
+        if not where.out and not where.link and slot not in menus:
+            amount[where.path.rpartition(">")[0]] += len(text.strip())
+    home = max(amount, key=lambda x: (amount[x], x)) if amount else ""
+    for nodes in placed:
+        yield _text((text, block) for slot, (_, text, where, block) in nodes if not where.out and slot not in menus and f"{where.path}>".startswith(f"{home}>"))
+
+
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of a group that shares a host."""
     pages = [Page(s) for s in sources]
-    template = Template(pages)
-    linked, mass = Counter(), Counter()
-    for k, p in enumerate(pages):
-        for slot, (_, text, where, _) in zip(template.slots(k, p.nodes), p.nodes):
-            n = len(text.strip())
-            mass[slot] += n
-            linked[slot] += n * where.link
-    menus = {s for s in template.repeated if linked[s] > LINKED * mass[s]}
-    named = any(where.main and not where.out and text.strip() for p in pages for _, text, where, _ in p.nodes)
-    home = ""
-    if not named:  # the container with most unlinked text over all pages
-        amount = Counter()
-        for k, p in enumerate(pages):
-            for slot, (_, text, where, _) in zip(template.slots(k, p.nodes), p.nodes):
-                if not where.out and not where.link and slot not in menus:
-                    amount[where.path.rpartition(">")[0]] += len(text.strip())
-        home = max(amount, key=lambda x: (amount[x], x)) if amount else ""
-    template_text = shared(pages)
+    template = shared([p for p in pages if p.main])
+    rest = [p for p in pages if p.nodes and not p.has_main]
+    unnamed = _unnamed(rest) if rest else iter(())
     out = []
-    for k, p in enumerate(pages):
-        own = named and any(where.main and not where.out and text.strip() for _, text, where, _ in p.nodes)
-        blocks: dict[int, list[str]] = defaultdict(list)
-        for slot, (_, text, where, block) in zip(template.slots(k, p.nodes), p.nodes):
-            if where.out or (not where.main if own else slot in menus or not where.path.startswith(home)):
-                continue
-            if own and p.main.get(block) in template_text:
-                continue
-            blocks[block].append(text)
-        texts = (" ".join("".join(x).split()) for x in blocks.values())
-        out.append("\n\n".join(x for x in texts if x))
+    for p in pages:
+        if p.has_main:
+            out.append(_text((text, block) for _, text, where, block in p.nodes if where.main and not where.out and p.main.get(block) not in template))
+        else:
+            out.append(next(unnamed) if p.nodes else "")
     return out
 
 

@@ -53,6 +53,22 @@ def test_pages_without_main_beside_pages_with_one():
     assert main_texts([plain(2), *named]) == [alone[2], *texts] and main_texts([empty]) == [""]
 
 
+@pytest.mark.parametrize("old, new", [("<body>", "<body class='no-sidebar'>"), ("<article>", "<div class='content has-sidebar'><article>"), ("<article>", "<article class='post comments-open'>")])
+def test_a_name_alone_does_not_drop_an_article(old, new):
+    inner = '<p>A text of some length, number {0}.</p><div class="advert-box"><p>Ad {0}</p></div><section id="comments"><p>Reader {0}</p></section>'
+    teaser = '<div class="related"><article class="t">Teaser</article></div>'
+    pages = [page(i, inner.format(i), extra=teaser).replace(old, new) for i in range(4)]
+    want = [f"Head {i}\n\nA text of some length, number {i}." for i in range(4)]
+    assert main_texts(pages) == want and main_texts(pages[2:3]) == want[2:3]
+
+
+def test_a_name_on_a_page_without_main():
+    def plain(i):
+        return f'<html><body class="no-sidebar"><div class="menu-bar"><p>Menu {i}</p></div><div class="c"><p>Long text number {i} goes on and on.</p></div></body></html>'
+
+    assert main_texts([plain(i) for i in range(4)]) == [f"Long text number {i} goes on and on." for i in range(4)]
+
+
 @pytest.mark.parametrize("source", [None, "", "   ", "<", "<p", "<!-- open", "<script>never", "a < b & c", "</p></p>", "<p>x" * 3000, "<b>" * 2000])
 def test_broken_markup(source):
     assert isinstance(main_texts([source])[0], str)

@@ -16,6 +16,11 @@ different rests of the pages hold less text than what they share, the pages are
 article and keep it. Pages whose markup names no main container are judged among themselves: there
 the article is the container that holds most unlinked text over those pages of the group.
 
+Words in class, id or role that name furniture are a prior. An element so marked is dropped only
+if it holds less than half of the unlinked text, over the pages of the group that have it: of the
+text in main containers, or of all text if it is no part of one. What a name marks and holds the
+greater part is the article, whatever its state is called (no-sidebar, comments-open).
+
 A host with one page is a group of its own: each token is in the class of its count and every
 rule works on that page alone. Hosts with more than 1/1000 of all pages are dealt by page_id.
 
@@ -62,12 +67,12 @@ _CAMEL = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    """An open element: its name, path, and whether it is furniture, main or a link."""
+    """An open element: its name, path, whether it is furniture, main or a link, and the marks that names put on it."""
 
-    __slots__ = ("tag", "path", "out", "main", "link", "inline")
+    __slots__ = ("tag", "path", "out", "main", "link", "inline", "marks")
 
-    def __init__(self, tag: str, path: str, out: bool, main: bool, link: bool, inline: bool):
-        self.tag, self.path, self.out, self.main, self.link, self.inline = tag, path, out, main, link, inline
+    def __init__(self, tag: str, path: str, out: bool, main: bool, link: bool, inline: bool, marks: frozenset[tuple[bool, str]] = frozenset()):
+        self.tag, self.path, self.out, self.main, self.link, self.inline, self.marks = tag, path, out, main, link, inline, marks
 
 
 def _named(attributes: str) -> tuple[set[str], str]:
@@ -94,9 +99,12 @@ class Page:
         self.tokens: list[str] = []  # keys of tags and words
         self.nodes: list[tuple[int, str, Node, int]] = []  # (place among tokens, text, where it stands, block)
         self.main: dict[int, str] = {}  # tokens of blocks in main containers
-        self.has_main = False
+        self.marks: dict[int, frozenset[tuple[bool, str]]] = {}  # marks on those blocks
+        self.has_main = False  # set once marks are judged
+        self.mains: set[frozenset[tuple[bool, str]]] = set()  # marks on main containers
         self._open: list[str] = []  # texts of the block that is being read, in a main container
         self._at = ""
+        self._marks: frozenset[tuple[bool, str]] = frozenset()
         source = source or ""
         stack = [Node("", "", False, False, False, False)]
         at, block, end = 0, 0, len(source)
@@ -135,12 +143,16 @@ class Page:
                 top = stack[-1]
                 words, kind = _named(m[3]) if m[3].strip() else (set(), "")
                 main = top.main or tag in MAIN or bool(words & MAIN_NAMES)
-                out = top.out or tag in FURNITURE or bool(words & NAMES) or "hidden" in words or tag == "header" and not top.main
+                out = top.out or tag in FURNITURE or "hidden" in words or tag == "header" and not top.main
                 path = top.path if tag in INLINE else f"{top.path}>{tag}{kind}"
                 self.tokens.append(f"{tag}|{path}")
-                self.has_main |= main and not out
+                marks = top.marks
+                if found := words & NAMES:  # (in a main container, what is marked)
+                    marks |= {(main, f"{top.path}>{tag}{kind}#{' '.join(sorted(found))}")}
+                if main and not out:
+                    self.mains.add(marks)
                 if tag not in VOID and not m[3].endswith("/"):
-                    stack.append(Node(tag, path, out, main, top.link or tag == "a", tag in INLINE))
+                    stack.append(Node(tag, path, out, main, top.link or tag == "a", tag in INLINE, marks))
                 elif tag == "br":
                     self._text(" ", stack[-1], block)
             if tag not in INLINE:
@@ -150,11 +162,12 @@ class Page:
     def _text(self, raw: str, where: Node, block: int) -> None:
         text = entities.unescape(raw)
         self.nodes.append((len(self.tokens), text, where, block))
-        if where.out or not where.main:
+        if where.out or not where.main or self._open and where.marks != self._marks:
             self.tokens += [f"'{w}|{where.path}" for w in text.split()]
         elif text.strip():
             # classes of containers can hold an article's number, so the element's name is all of the path
             self._at = self._at if self._open else where.path.rpartition(">")[2].partition(".")[0]
+            self._marks = where.marks
             self._open.append(text)
         elif self._open:
             self._open.append(text)
@@ -163,6 +176,7 @@ class Page:
         """The block's text as one token: a word alone says little amid the words of an article."""
         if self._open:
             self.main[block] = f"'{' '.join(''.join(self._open).split())}|{self._at}"
+            self.marks[block] = self._marks
             self.tokens.append(self.main[block])
             self._open.clear()
 
@@ -243,6 +257,25 @@ def _ascending(order: list[str], rank: dict[str, int]) -> list[str]:
     return out[::-1]
 
 
+def furniture(pages: list[Page]) -> set[tuple[bool, str]]:
+    """Marks of names that hold less than half of the unlinked text of the pages that have them."""
+    held, total = Counter(), Counter()
+    for p in pages:
+        own, size = Counter(), [0, 0]  # of the page, of its main containers
+        for _, text, where, _ in p.nodes:
+            if where.out:
+                continue
+            n = 0 if where.link else len(text.strip())
+            size[0] += n
+            size[1] += n * where.main
+            for mark in where.marks:
+                own[mark] += n
+        for mark, n in own.items():
+            held[mark] += n
+            total[mark] += size[mark[0]]
+    return {m for m in held if 2 * held[m] < total[m]}
+
+
 def shared(pages: list[Page]) -> set[str]:
     """Tokens of blocks that all of these pages have in a main container, if the pages differ otherwise."""
     if len(pages) < 2:
@@ -274,23 +307,28 @@ def _unnamed(pages: list[Page]) -> Iterator[str]:
         linked[slot] += n * where.link
     menus = {s for s in template.repeated if linked[s] > LINKED * mass[s]}
     for slot, (_, text, where, _) in chain.from_iterable(placed):
-        if not where.out and not where.link and slot not in menus:
+        if not where.link and slot not in menus:
             amount[where.path.rpartition(">")[0]] += len(text.strip())
     home = max(amount, key=lambda x: (amount[x], x)) if amount else ""
     for nodes in placed:
-        yield _text((text, block) for slot, (_, text, where, block) in nodes if not where.out and slot not in menus and f"{where.path}>".startswith(f"{home}>"))
+        yield _text((text, block) for slot, (_, text, where, block) in nodes if slot not in menus and f"{where.path}>".startswith(f"{home}>"))
 
 
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of a group that shares a host."""
     pages = [Page(s) for s in sources]
+    marks = furniture(pages)
+    for p in pages:
+        p.main = {b: t for b, t in p.main.items() if marks.isdisjoint(p.marks[b])}
+        p.nodes = [(at, text, where, block) for at, text, where, block in p.nodes if not where.out and marks.isdisjoint(where.marks)]
+        p.has_main = any(marks.isdisjoint(m) for m in p.mains)
     template = shared([p for p in pages if p.main])
     rest = [p for p in pages if p.nodes and not p.has_main]
     unnamed = _unnamed(rest) if rest else iter(())
     out = []
     for p in pages:
         if p.has_main:
-            out.append(_text((text, block) for _, text, where, block in p.nodes if where.main and not where.out and p.main.get(block) not in template))
+            out.append(_text((text, block) for _, text, where, block in p.nodes if where.main and p.main.get(block) not in template))
         else:
             out.append(next(unnamed) if p.nodes else "")
     return out

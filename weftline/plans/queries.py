@@ -359,6 +359,13 @@ def alias_normalise(spark, sf_dir):
     return rows.groupBy("alias").agg(counted("n"), F.countDistinct("p_name").alias("names"))
 
 
+def _resolved(spark, sf_dir, parts: DataFrame) -> DataFrame:
+    """The declarations that the names of these parts mean."""
+    index = resolve.suffixes(_declarations(spark, sf_dir).select("model", F.upper("qualified").alias("qualified")).distinct())
+    asked = parts.select(F.col("p_partkey").alias("ref_id"), F.lit("supply").alias("model"), F.col("p_name").alias("reference"), F.concat_ws("::", "p_brand", "p_type", "p_name").alias("source"))
+    return resolve.nearest(asked, index).select(F.col("ref_id").alias("p_partkey"), "hit")
+
+
 _QUALIFIED = "p_brand || '::' || p_type || '::' || p_name"
 
 
@@ -384,11 +391,14 @@ c AS (SELECT p_partkey, hit, CASE WHEN r.b <> d.b THEN 0 WHEN r.t <> d.t THEN 1
 SELECT p_partkey, min(hit) AS hit FROM (SELECT *, max(shared) OVER (PARTITION BY p_partkey) AS best, count(*) OVER (PARTITION BY p_partkey) AS n FROM c) WHERE n = 1 OR shared = best GROUP BY p_partkey HAVING count(*) = 1
 """, graph=False)
 def suffix_index_resolution(spark, sf_dir):
-    """References by bare name resolved to the nearest declaration; ties name nothing."""
-    d = _declarations(spark, sf_dir)
-    index = resolve.suffixes(d.select("model", F.upper("qualified").alias("qualified")).distinct())
-    asked = table(spark, sf_dir, "part").where("p_size % 5 = 0").select(F.col("p_partkey").alias("ref_id"), F.lit("supply").alias("model"), F.col("p_name").alias("reference"), F.concat_ws("::", "p_brand", "p_type", "p_name").alias("source"))
-    return resolve.nearest(asked, index).select(F.col("ref_id").alias("p_partkey"), "hit")
+    """References by bare name resolved to the nearest declaration; ties name nothing. Asks a fifth of the parts, as its SQL does."""
+    return _resolved(spark, sf_dir, table(spark, sf_dir, "part").where("p_size % 5 = 0"))
+
+
+@query()
+def suffix_index_resolution_all(spark, sf_dir):
+    """The names of all parts resolved to the nearest declaration; ties name nothing."""
+    return _resolved(spark, sf_dir, table(spark, sf_dir, "part"))
 
 
 @query("""
@@ -420,6 +430,16 @@ def dedupe_edges(spark, sf_dir):
     return reconcile.one_of_equal(r).select("src", "dst", "line")
 
 
+def _repointed(spark, sf_dir, nations) -> DataFrame:
+    """Edges from nations of suppliers to nations of customers, of these nations, after the merge."""
+    of = lambda name, key: table(spark, sf_dir, name).select(F.col(key).cast("long").alias("n_nationkey")).where(nations).distinct()
+    a = of("supplier", "s_nationkey").withColumnRenamed("n_nationkey", "src")
+    b = of("customer", "c_nationkey").withColumnRenamed("n_nationkey", "dst")
+    edges = a.join(F.broadcast(b)).select("src", "dst", F.lit("RELATED_TO").alias("type"), F.lit("trades").alias("relationship_type"))  # keys of nations only
+    merged = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("id")).where("id % 7 = 0 and id > 0").withColumn("into", F.col("id") - 7)
+    return reconcile.repoint(edges, merged).select(F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"))
+
+
 _MERGED = "CASE WHEN x % 7 = 0 AND x > 0 THEN x - 7 ELSE x END"
 
 
@@ -428,12 +448,14 @@ WITH m AS (SELECT DISTINCT {_MERGED.replace('x', 's_nationkey')} AS src, {_MERGE
 SELECT src, dst FROM m WHERE src <> dst
 """, graph=False)
 def repoint_merge(spark, sf_dir):
-    """Edges moved off merged vertices; loops and repeats that arise are dropped."""
-    a = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("src")).where("src < 15").distinct()
-    b = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("dst")).where("dst < 15").distinct()
-    edges = a.join(F.broadcast(b)).select("src", "dst", F.lit("RELATED_TO").alias("type"), F.lit("trades").alias("relationship_type"))  # 15 nations at most
-    merged = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("id")).where("id % 7 = 0 and id > 0").withColumn("into", F.col("id") - 7)
-    return reconcile.repoint(edges, merged).select(F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"))
+    """Edges moved off merged vertices; loops and repeats that arise are dropped. Keeps nations below 15, as its SQL does."""
+    return _repointed(spark, sf_dir, F.col("n_nationkey") < 15)
+
+
+@query()
+def repoint_merge_all(spark, sf_dir):
+    """Edges between all nations moved off merged vertices; loops and repeats that arise are dropped."""
+    return _repointed(spark, sf_dir, F.lit(True))
 
 
 @query("SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE s_nationkey <> c_nationkey GROUP BY ALL", graph=False)

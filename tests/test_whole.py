@@ -1,7 +1,5 @@
 """Queries over whole tables, without SQL, against brute force on small tables."""
 
-import pytest
-
 from weftline.plans import queries
 
 
@@ -33,3 +31,18 @@ def test_edges_of_every_nation_are_moved(spark, tmp_path):
     want = {(into(a), into(b)) for a in nations if a % 3 for b in nations if b % 4 != 1 if into(a) != into(b)}
     got = [tuple(r) for r in queries.QUERIES["repoint_merge_all"](spark, sf).select("src", "dst").collect()]
     assert sorted(got) == sorted(want) and max(a for a, _ in want) == 23
+
+
+def test_components_of_all_orders(spark, tmp_path):
+    orders = [(i, i // 2, "5-LOW" if i % 3 else "1-URGENT") for i in range(60)]
+    items = [(i, p, 1 + i % 50) for i in range(59) for p in (100 + i // 20, 200 + i % 2 + i // 20 * 2)]
+    items += [(59, 700, 1), (1000, 800, 50)]
+    sf = save(spark, tmp_path, orders=(orders, "o_orderkey long, o_custkey long, o_orderpriority string"), lineitem=(items, "l_orderkey long, l_partkey long, l_quantity long"))
+    customer = {o: c for o, c, _ in orders}
+    group: dict[int, set[int]] = {}
+    for o, p, _ in items:
+        if o in customer:
+            both = group.get(customer[o], {customer[o]}) | group.get(10**9 + p, {10**9 + p})
+            group |= dict.fromkeys(both, both)
+    got = {r.id: r.component for r in queries.QUERIES["components_all"](spark, sf).collect()}
+    assert got == {x: min(g) for x, g in group.items()} and set(got.values()) == {0, 10, 20}

@@ -604,9 +604,9 @@ def analogy_capped(spark, sf_dir):
 _LINKS = "l AS (SELECT DISTINCT o_custkey AS src, 1000000000 + l_partkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' AND l_quantity >= 49)"
 
 
-def _links(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
-    i = table(spark, sf_dir, "lineitem").where("l_quantity >= 49").select("l_orderkey", "l_partkey")
+def _links(spark, sf_dir, orders="true", items="true") -> DataFrame:
+    o = table(spark, sf_dir, "orders").where(orders).select("o_orderkey", "o_custkey")
+    i = table(spark, sf_dir, "lineitem").where(items).select("l_orderkey", "l_partkey")
     return o.join(i, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("src"), (F.col("l_partkey") + 1_000_000_000).alias("dst")).distinct()
 
 
@@ -616,7 +616,13 @@ r AS (SELECT DISTINCT a AS id, a AS c FROM e UNION SELECT r.id, e.b FROM r JOIN
 SELECT id, min(c) AS component FROM r GROUP BY id
 """, graph=False)
 def components(spark, sf_dir):
-    """Connected components of customers and the parts they urgently ordered many of."""
+    """Connected components of customers and the parts they urgently ordered many of: the slice that its SQL names."""
+    return communities.components(_links(spark, sf_dir, F.col("o_orderpriority") == "1-URGENT", F.col("l_quantity") >= 49))
+
+
+@query()
+def components_all(spark, sf_dir):
+    """Connected components of all customers and the parts they ordered."""
     return communities.components(_links(spark, sf_dir))
 
 

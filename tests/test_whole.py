@@ -1,5 +1,6 @@
 """Queries over whole tables, without SQL, against brute force on small tables."""
 
+from weftline.operators import similarity
 from weftline.plans import queries
 
 
@@ -46,3 +47,15 @@ def test_components_of_all_orders(spark, tmp_path):
             group |= dict.fromkeys(both, both)
     got = {r.id: r.component for r in queries.QUERIES["components_all"](spark, sf).collect()}
     assert got == {x: min(g) for x, g in group.items()} and set(got.values()) == {0, 10, 20}
+
+
+def test_counterparts_by_words_and_vectors(spark):
+    """A counterpart that only its words recommend is among the best of the fused ranks."""
+    rows = [(0, "part", "a", [1.0, 0.0], "valve of the oxygen tank")]
+    rows += [(i, "part", "b", [1.0, i / 100], f"filler{i}") for i in range(1, 20)]
+    rows += [(20, "part", "b", [1.0, 0.5], "oxygen tank valve"), (21, "part", "a", [1.0, 0.0], "oxygen tank valve"), (22, "port", "b", [1.0, 0.0], "oxygen tank valve")]
+    df = spark.createDataFrame(rows, "id long, role string, model string, embedding array<double>, text string")
+    assert 20 not in {r.dst for r in similarity.candidates(df, search=3).where("src = 0").collect()}
+    got = similarity.candidates(df, search=3, text="text").where("src = 0").collect()
+    by = {r.dst: r for r in got}
+    assert set(by) == {1, 2, 20} and abs(by[20].rrf_score - (1 / 80 + 1 / 61)) < 1e-12 and [by[20].rank, by[1].rank] == [1, 2]

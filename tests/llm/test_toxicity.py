@@ -73,3 +73,20 @@ def test_query_shape(spark):
     none = tx.scored(docs, tx.train(docs, labels.limit(0))).collect()
     assert {r.score for r in none} == {0.0}
     assert tx.scored(docs.limit(0), tx.train(docs.limit(0), labels)).count() == 0
+
+
+def test_calibrated_on_whole_texts(spark, monkeypatch):
+    """The curve is fitted to the highest windows of whole texts, though the network sees segments."""
+    monkeypatch.setattr(tx, "SEGMENT", 300)
+    texts, label = sample(5, 200)
+    assert min(len(t) for t in texts) < 300 < max(len(t) for t in texts)
+    seen = []
+    monkeypatch.setattr(tx.Network, "calibrate_on", lambda net, x, y, prior: seen.append((net, x, y)), raising=False)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id long, toxic int")
+    tx.train(docs, labels)
+    (net, x, y), = seen
+    high = net.highest(tx._text(texts))
+    assert len(x) > 10 and set(y.tolist()) == {0, 1}
+    for v in (0, 1):
+        assert all(np.abs(high[label == v] - a).min() < 1e-3 for a in x[y == v])

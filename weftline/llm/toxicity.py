@@ -15,7 +15,7 @@ the share of positives. Empty tables give no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -259,7 +259,9 @@ class Network:
 
         prior: the share of positives among all labels, which the sample's differs from.
         """
-        x = np.concatenate([self.highest(t) for t in parts])
+        self.calibrate_on(np.concatenate([self.highest(t) for t in parts]), label, prior)
+
+    def calibrate_on(self, x: np.ndarray, label: np.ndarray, prior: float) -> None:
         ok = np.isfinite(x)
         x, y = np.clip(x[ok], -30, 30), label[ok].astype(np.float64)
         if not len(x) or y.min() == y.max():
@@ -315,7 +317,8 @@ def _with_echoes(texts: list[str], label: np.ndarray, late: np.ndarray, rng: np.
     return [*texts, *echoes], np.concatenate([label, np.zeros(len(echoes), np.int64)]), np.concatenate([late, np.zeros(len(echoes), bool)])
 
 
-def fit(texts: list[str], label: np.ndarray, prior: float | None = None) -> Network:
+def fit(texts: list[str], label: np.ndarray, prior: float | None = None, whole: Callable[[Network, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None) -> Network:
+    """whole: highest logits and labels of the whole texts at these places, where ``texts`` are segments."""
     net = Network(np.zeros(0, np.uint64))
     if not len(label) or label.min() == label.max() or not any(len(_text(texts[lo : lo + PART]).text) for lo in range(0, len(texts), PART)):
         net.p, net.floor = {}, float(label.mean()) if len(label) else 0.0
@@ -324,18 +327,33 @@ def fit(texts: list[str], label: np.ndarray, prior: float | None = None) -> Netw
     late = rng.random(len(label)) < CALIBRATION
     if label[late].sum() < 5 or label[~late].sum() < 5:
         late[:] = False
+    rows = len(label)
     texts, label, late = _with_echoes(texts, label, late, rng)
     parts, labels = _parts(texts, label, rng.permutation(np.flatnonzero(~late)))
     net = Network(_vocabulary(parts))
     net.fit(parts, labels, rng)
     if late.any():
         parts, labels = _parts(texts, label, np.flatnonzero(late))
-    net.calibrate(parts, np.concatenate(labels), float(label.mean()) if prior is None else prior)
+    prior = float(label.mean()) if prior is None else prior
+    if whole is None:
+        net.calibrate(parts, np.concatenate(labels), prior)
+        return net
+    x, y = whole(net, np.flatnonzero(late) if late.any() else np.arange(rows))
+    if not late.any():
+        parts, labels = _parts(texts, label, np.arange(rows, len(label)))
+        x, y = np.concatenate([x, *[net.highest(t) for t in parts]]), np.concatenate([y, *labels])
+    net.calibrate_on(x, y, prior)
     return net
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", positive: int = POSITIVE, negative: int = NEGATIVE) -> Network:
-    """Fit on about ``positive`` and ``negative`` labelled rows at most, none of them held out."""
+    """Fit on about ``positive`` and ``negative`` labelled rows at most, none of them held out.
+
+    The network sees a segment of each; the logistic curve is fitted to the highest windows of
+    whole texts, which executors compute: a number per row of the sample reaches the driver.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
     known = labels.select(F.col("doc_id").alias("i"), F.col(label).cast("int").alias("y")).where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out("i", 4, 2))
     known = known.groupBy("i").agg(F.max("y").alias("y"))  # repeated rows of a label count once
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -344,10 +362,24 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "
     few = known.where(draw < rate)
     base = docs.select(F.col(ident).alias("i"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull())
     begin = F.pmod(F.xxhash64("i", F.lit("segment")), F.greatest(F.length("t") - SEGMENT, F.lit(0)) + 1).cast("int") + 1
-    base = base.withColumn("t", F.col("t").substr(begin, F.lit(SEGMENT)))
+    cut = base.withColumn("t", F.col("t").substr(begin, F.lit(SEGMENT)))
     # few has about positive + negative rows, whatever the tables' sizes
-    sample = sorted((r.i, r.t, r.y) for r in base.join(F.broadcast(few), "i").collect())
-    return fit([t for _, t, _ in sample], np.array([y for *_, y in sample], np.int64), counts.get(1, 0) / max(1, sum(counts.values())))
+    sample = sorted((r.i, r.t, r.y) for r in cut.join(F.broadcast(few), "i").collect())
+
+    def whole(net: Network, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sent = spark.sparkContext.broadcast(net)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in slices(batch, "t", 700_000):
+                    high = sent.value.highest(Text(*column_bytes(piece.column("t"))))
+                    yield pa.RecordBatch.from_arrays([pa.array(high, pa.float64()), piece.column("y")], ["x", "y"])
+
+        asked = spark.createDataFrame(sorted({(sample[k][0], sample[k][2]) for k in which.tolist()}), few.schema)
+        found = sorted((r.x, r.y) for r in base.join(F.broadcast(asked), "i").select("t", "y").mapInArrow(run, "x double, y int").collect())
+        return np.array([x for x, _ in found], np.float64), np.array([y for _, y in found], np.int64)
+
+    return fit([t for _, t, _ in sample], np.array([y for *_, y in sample], np.int64), counts.get(1, 0) / max(1, sum(counts.values())), whole)
 
 
 def scored(docs: DataFrame, net: Network, text: str = "text", ident: str = "doc_id") -> DataFrame:

@@ -44,3 +44,19 @@ def test_small_store(monkeypatch):
 def test_no_texts():
     ids, sizes = Encoder(public_tokenizers.path("byte_bpe_50k.json")).encode(pa.array([], pa.string()), 7)
     assert len(ids) == len(sizes) == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_strings_of_added_tokens(name):
+    """The encoder of the operators gives them the ids that the library's default gives."""
+    e = tokens.encoder(public_tokenizers.path(name))
+    ref = Tokenizer.from_file(public_tokenizers.path(name))
+    some = ["<|endoftext|>", "<|ENDOFTEXT|>", "a<|endoftext|>b", "a<|startoftext|> B\n<|endoftext|>", "x <|StartOfText|> y", "<|endof", "text|>", "", None, "plain  Text 12"]
+    ts = some + texts() + some
+    ids, sizes = e.encode(pa.array(ts), 7)
+    got = np.split(ids, np.cumsum(sizes)[:-1])
+    want = [x.ids for x in ref.encode_batch([t or "" for t in ts], add_special_tokens=False)]
+    for t, g, w in zip(ts, got, want):
+        assert g.tolist() == [*w, 7], repr(t)
+    plain = Encoder(public_tokenizers.path(name)).encode(pa.array(["<|endoftext|>"]))[0]
+    assert plain.tolist() != want[0]

@@ -4,8 +4,8 @@ Both kinds of vocabulary file known here cut a text before they merge: always wh
 begins, and always between an ASCII letter and ASCII punctuation or a digit. So a text's ids are
 those of the pieces between such places. Pieces of a batch are numbered by Arrow's dictionary
 encoding; the ids of a piece are kept, and what is new in a batch is encoded by the library in
-one call. Texts with white space beyond ASCII or control characters that some count as such, and
-every text of another kind of file, are encoded whole.
+one call. Texts with white space beyond ASCII or control characters that some count as such, texts
+that hold the string of an added token, and every text of another kind of file, are encoded whole.
 """
 
 from __future__ import annotations
@@ -61,14 +61,14 @@ def _odd_places(data: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts as little-endian numbers of ``width`` bytes."""
+    """Ids of texts as little-endian numbers of ``width`` bytes. added: strings of added tokens get their ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added  # if set, their strings in a text are ordinary text
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
@@ -85,6 +85,11 @@ class Encoder:
             mark = self.tokenizer.encode("\x01", add_special_tokens=False).ids
             if len(mark) == 1:
                 self.strategy, self.mark = "word", mark[0]
+        strings = [t["content"] for t in spec.get("added_tokens") or []] if added else []
+        if any(any(c.isspace() for c in s) or not s.isascii() for s in strings):
+            self.strategy = "whole"
+        # white space and case aside: a text that holds one perhaps is left to the library
+        self.added = [_FOLD[np.frombuffer(s.encode(), np.uint8)].tobytes() for s in strings if s]
         self.memo: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
 
@@ -146,13 +151,27 @@ class Encoder:
             pool = [x if x is not None else memo[k] if k in memo else young[k] for k, x in zip(keys, pool)]
         return pool
 
+    def _with_added(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Which texts hold the string of an added token."""
+        out = np.zeros(len(off) - 1, bool)
+        if self.added and len(data):
+            raw = _FOLD[data].tobytes()
+            for s in self.added:
+                at = raw.find(s)
+                while at >= 0:
+                    k = int(np.searchsorted(off, at, "right")) - 1
+                    out[k] = True
+                    at = raw.find(s, int(off[k + 1]))
+        return out
+
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after another, and how many each text has; ``end`` closes every text."""
         data, off = column_bytes(col)
         n = len(off) - 1
-        if self.strategy == "word":  # the library lower-cases and drops white space as well
-            data = _FOLD[data]
-        apart = np.zeros(n, bool)
+        special = self._with_added(data, off)
+        if self.strategy == "word":  # the library lower-cases and drops white space as well, but for added tokens
+            data = np.where(np.repeat(special, np.diff(off)), data, _FOLD[data]) if special.any() else _FOLD[data]
+        apart = special
         if self.strategy == "whole":
             apart[:] = True
         else:
@@ -192,4 +211,4 @@ class Encoder:
 @lru_cache(4)
 def encoder(path: str) -> Encoder:
     """One encoder for each file and Python worker; its store of pieces serves all tasks of the worker."""
-    return Encoder(path)
+    return Encoder(path, added=True)

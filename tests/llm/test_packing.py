@@ -67,7 +67,7 @@ def test_every_id_in_one_piece(spark, most, horizon, monkeypatch):
         assert n <= most
         waste += pad(n, most)
     total = sum(len(x) for v in want.values() for x in v)
-    assert waste <= 0.03 * total + 4 * most
+    assert waste <= 0.03 * total + 4 * most  # (a piece of the table per partition ends unweighed)
 
 
 def test_empty(spark):

@@ -371,4 +371,5 @@ def extract(pages: DataFrame, ident: str = "page_id", url: str = "url", html: st
 
 
 def op1_html_text(spark, sf_dir: str) -> DataFrame:
+    """All ``pages``: a row for each, null html as empty text; an empty table gives none."""
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))

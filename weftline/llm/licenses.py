@@ -192,4 +192,5 @@ def licenses(docs: DataFrame, texts: dict[str, list[str]] = TEMPLATES, text: str
 
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``: a row per document and license found; null and empty texts, and an empty table, give none."""
     return licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))

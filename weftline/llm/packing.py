@@ -1,17 +1,20 @@
 """Order-preserving packing of documents into sequences by dynamic programming.
 
 Documents are laid end to end in ascending doc_id and cut into windows of at most ``most`` ids.
-Windows may be cut at document ends, after sentence ends (a little dearer) and, so that no
-stretch is without a cut, at places in between (dearer still). With f the least cost up to a
-cut at place p, f(p) = pen(p) + min over cuts q in [p - most, p) of f(q) + padding(p - q), where
-the padding is most - (p - q), or nothing if p - q is a power of two. The first kind is a
-minimum of f(q) + q over a sliding window, kept in a monotone queue; the powers of two are
-looked up. So a step costs a constant however many cuts lie in a window.
-
-Partitions are ranges of doc_id; a partition's last window is the only one
-that isn't weighed against what follows. Null text is empty (its end id alone); null doc_ids
-come first; repeated rows are documents of their own; an empty table gives no rows. Extra
-columns are ignored. Sequence ids are the partition's number times 2 ** 32 plus a count.
+Windows may be cut at document ends, after sentence ends (a little dearer) and, in stretches of
+more than WIDE ids that hold neither, at places in between (much dearer). Every window costs
+something as well, so that a short one of a power of two, though it has no padding, is no way to
+save a few padded ids. With f the least cost up to a cut at place p, f(p) = pen(p) + min over cuts
+q in [p - most, p) of f(q) + padding(p - q), where the padding is most - (p - q), or nothing if
+p - q is a power of two. The first kind is a minimum of f(q) + q over a sliding window, kept in a
+monotone queue; the powers of two are looked up. So a step costs a constant however many cuts lie
+in a window.
+
+Partitions are ranges of doc_id; a partition's last window is the only one that isn't weighed
+against what follows. Null text is empty (its end id alone); null doc_ids come first; repeated
+rows are documents of their own, ties of doc_id in the order of their texts; a very long text goes
+over as many windows as it takes; an empty table gives no rows. Extra columns are ignored.
+Sequence ids are the partition's number times 2 ** 32 plus a count.
 """
 
 from __future__ import annotations
@@ -33,11 +36,11 @@ from weftline.llm.tokens import encoder
 
 MOST = 2048
 END = 1
-#: Cost, in padded ids, of a cut after a document, after a sentence and elsewhere. What every cut costs keeps windows full
-#: rather than many and short.
-DOCUMENT, SENTENCE, ELSEWHERE = 24, 25, 30
-#: The longest stretch without a cut.
-STRETCH = 32
+#: Cost of a window, in padded ids, and what a cut after a document, after a sentence and elsewhere adds.
+EACH = 200
+DOCUMENT, SENTENCE, ELSEWHERE = 0, 8, 60
+#: A stretch longer than WIDE between document and sentence ends can be cut every STRETCH ids.
+WIDE, STRETCH = 256, 32
 #: Ids weighed at once; a longer partition goes in such pieces, the open window carried over.
 HORIZON = 400_000
 
@@ -84,8 +87,9 @@ def best_cuts(place: np.ndarray, penalty: np.ndarray, most: int = MOST) -> np.nd
     return np.array(out[::-1])
 
 
-def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
+def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
     """Where cuts may be (0 first) and their penalties."""
+    wide_from, stretch = min(WIDE, most), min(STRETCH, most)
     total = int(doc_ends[-1])
     kind = np.zeros(total + 1, np.uint8)  # of each place: 0 none, 1 elsewhere, 2 sentence, 3 document
     kind[sentence_ends] = 2
@@ -93,12 +97,12 @@ def cut_places(doc_ends: np.ndarray, sentence_ends: np.ndarray, stretch: int = S
     kind[0] = 3
     place = np.flatnonzero(kind)
     gap = np.diff(place)
-    wide = np.flatnonzero(gap > stretch)
+    wide = np.flatnonzero(gap > wide_from)
     if len(wide):
         more = (gap[wide] - 1) // stretch
         kind[np.repeat(place[wide], more) + stretch * (ranges(np.zeros(len(wide), np.int64), more) + 1)] = 1
         place = np.flatnonzero(kind)
-    return place, np.array([0, ELSEWHERE, SENTENCE, DOCUMENT])[kind[place]]
+    return place, np.array([0, EACH + ELSEWHERE, EACH + SENTENCE, EACH + DOCUMENT])[kind[place]]
 
 
 def sentence_ids(tokenizer: str) -> np.ndarray:
@@ -142,7 +146,7 @@ class Packer:
             return
         ends = ends[:upto]
         stream = self.stream[: ends[-1]]
-        place, penalty = cut_places(ends, np.flatnonzero(self.closes[stream]) + 1, min(STRETCH, self.most))
+        place, penalty = cut_places(ends, np.flatnonzero(self.closes[stream]) + 1, self.most)
         cuts = place[best_cuts(place, penalty, self.most)]
         if not last and len(cuts) > 2:
             cuts = cuts[:-1]  # the open window waits for what follows
@@ -189,4 +193,5 @@ def packed(docs: DataFrame, tokenizer: str, end: int = END, text: str = "text",
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``, nulls as empty text: a row per piece; an empty table gives none."""
     return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))

@@ -327,4 +327,5 @@ def without_repeats(docs: DataFrame, text: str = "text", ident: str = "doc_id")
 
 
 def op9_repeated_strings(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``, nulls as empty text: a row for each; an empty table gives none."""
     return without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -158,6 +158,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
 
 
 def op3_token_file(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``, nulls as empty text, written and read back: a row for each; an empty table gives none."""
     folder = Scratch(spark, "tokens").path("file")
     write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return read_tokens(spark, folder)

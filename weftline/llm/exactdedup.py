@@ -7,10 +7,14 @@ of their bucket. Digests that it lets pass join the exact buckets; those it stop
 new and are grouped among themselves. Then the batch itself becomes part of what is known.
 
 Digests only retrieve: rows of a digest that more than one row has are grouped by the bytes of
-the text as well, so two texts of one digest would stay apart.
-
-Null counts as empty text. The row with the largest doc_id stays; repeated doc_ids count as rows
-(group_size). An empty table gives no rows. Extra columns are ignored.
+the text as well, so two texts of one digest would stay apart. The text of a row whose digest is
+alone is never moved: up to FEW digests of several rows are broadcast to the rows; beyond that
+the rows are dealt by digest. If bytes and digests disagree on a group's size, the run fails.
+
+Null counts as empty text. Of equal texts the row with the largest doc_id stays, a null doc_id only
+where all are null; repeated doc_ids count as rows (group_size), and rows equal in doc_id and text
+are all ``kept`` by op5 while ``without_copies`` keeps one of them. Very long texts are hashed where
+they are; an empty table gives no rows; extra columns, whatever their names, are carried or ignored.
 """
 
 from __future__ import annotations
@@ -18,18 +22,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import Scratch, lookup
+from weftline.llm.scratch import Scratch, lookup, quoted, unused
 from weftline.llm.textcode import U, mix
 
 #: Digests that one filter holds, about; the number of buckets follows the snapshot's size.
 BUCKET = 50_000
 #: Batches that the query deals the table into; the first is the snapshot.
 BATCHES = 2
+#: Digests of several rows that are broadcast at most (some 10 MB); more of them are dealt with the texts.
+FEW = 100_000
 
 
 # --- binary-fuse filter (three-wise, 8-bit fingerprints) ---
@@ -106,11 +111,14 @@ def _key64(digest) -> F.Column:
 
 
 class Snapshot:
-    """An immutable set of digests: exact buckets and one filter for each."""
+    """An immutable set of digests: exact buckets and one filter for each.
+
+    Buckets are counted from the larger of the snapshot and what comes in, so neither crowds one.
+    """
 
-    def __init__(self, groups: DataFrame, scratch: Scratch, name: str = "snapshot"):
+    def __init__(self, groups: DataFrame, scratch: Scratch, name: str = "snapshot", incoming: int = 0):
         """groups: a row per digest with any further columns."""
-        self.buckets = max(1, -(-groups.count() // BUCKET))
+        self.buckets = max(1, -(-max(groups.count(), incoming) // BUCKET))
         self.exact = scratch.keep(groups.withColumn("bucket", self.bucket()).repartition("bucket"), name)
 
         def build(key: tuple, rows: pa.Table) -> pa.Table:
@@ -147,54 +155,99 @@ def _groups(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
 
 
-def duplicate_groups(docs: DataFrame, text: str = "text", ident: str = "doc_id", batches: int = BATCHES) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256``, a row per row of docs."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "exactdedup")
-    rows = scratch.keep(digests(docs, text, ident), "digests")
-    total = rows.count()
+def digest_groups(rows: DataFrame, scratch: Scratch, batches: int = BATCHES) -> DataFrame:
+    """``digest, top, n`` of all rows (doc_id, digest), found batch by batch through the filters."""
     batch = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(batches))
     known = scratch.keep(_groups(rows.where(batch == 0)), "known0")
     for b in range(1, batches):
-        snapshot = Snapshot(known, scratch, f"snapshot{b}")
-        fresh = scratch.keep(snapshot.screen(_groups(rows.where(batch == b))), f"screened{b}")
+        come = scratch.keep(_groups(rows.where(batch == b)), f"batch{b}")
+        snapshot = Snapshot(known, scratch, f"snapshot{b}", come.count())
+        fresh = scratch.keep(snapshot.screen(come), f"screened{b}")
         # positives meet the exact buckets; negatives are groups of their own
         old = snapshot.exact.select("digest", "top", "n")
         hits = fresh.where("maybe").select("digest", F.col("top").alias("top2"), F.col("n").alias("n2"))
         met = old.join(hits, "digest", "full").select("digest", F.greatest("top", "top2").alias("top"), (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"))
         known = scratch.keep(met.unionByName(fresh.where("not maybe").select("digest", "top", "n")), f"known{b}")
-    # byte check: texts of a digest that several rows have are grouped by their bytes
-    whole = docs.select(F.col(ident).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    digest = F.unhex(F.sha2("text", 256))
-    # copies meet within each task first, so a text with many copies is dealt once per task
-    texts = whole.withColumn("digest", digest).groupBy("digest", "text").agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
-    sure = scratch.keep(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("top").alias("top"), F.sum("n").alias("n")), "checked")
-    clash = sure.where("texts > 1")
-    # a group as the batches found it, with its bytes checked: as many rows have this one text
-    groups = known.select("digest", "top", "n").join(sure.where("texts = 1").select("digest", F.col("n").alias("_n")), "digest").where("n = _n").drop("_n")
-    out = lookup(rows, groups, "digest", F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8"), "n", total)
-    if not clash.isEmpty():  # two texts of one SHA-256
-        out = out.join(clash.select("digest"), "digest", "left_anti")
-        apart = whole.withColumn("digest", digest).join(clash.select("digest"), "digest", "left_semi")
-        by = texts.join(clash.select("digest"), "digest", "left_semi")
-        out = out.unionByName(apart.join(by, ["digest", "text"]).select("doc_id", "digest", "top", "n"))
-    kept = (F.col("doc_id") == F.col("top")) | (F.col("doc_id").isNull() & F.col("top").isNull())
+        for name in (f"known{b - 1}", f"batch{b}", f"snapshot{b}", f"snapshot{b}-filters", f"screened{b}"):
+            scratch.drop(name)
+    return known
+
+
+class Copies:
+    """Groups of equal texts of a table, with the bytes of all that share a digest compared.
+
+    rows: (doc_id, digest) of every row; known: (digest, top, n) of every digest; several: those
+    of more than one row; clash: digests that hold two texts (None: there are none) with
+    apart, the groups (digest, text, top, n) of these.
+    """
+
+    def __init__(self, docs: DataFrame, text: str, ident: str, batches: int = BATCHES):
+        scratch = Scratch(docs.sparkSession, "exactdedup")
+        self.rows = scratch.keep(digests(docs, text, ident), "digests")
+        self.total = self.rows.count()
+        self.known = digest_groups(self.rows, scratch, batches)
+        self.several = scratch.keep(self.known.where("n > 1"), "several")
+        self.few = self.several.count() <= FEW
+        body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+        self.whole = docs.select(F.col(ident).cast("long").alias("doc_id"), body.alias("text"), F.unhex(F.sha2(body, 256)).alias("digest"))
+        # copies meet within each task first, so a text with many copies is dealt once per task
+        texts = self._of_several(self.whole).groupBy("digest", "text").agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
+        checked = scratch.keep(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows")), "checked")
+        off = self.several.join(checked, "digest", "full").where("not (n <=> rows)")
+        if not off.isEmpty():
+            raise RuntimeError("the groups of digests do not agree with the texts: did the table change while it was read?")
+        clash = checked.where("texts > 1").select("digest")
+        self.clash = None if clash.isEmpty() else clash
+        self.apart = texts.join(clash, "digest", "left_semi")
+
+    def _of_several(self, rows: DataFrame) -> DataFrame:
+        """The rows (with ``digest``) of more than one row's digest; alone ones are not moved."""
+        keys = self.several.select("digest")
+        return rows.join(F.broadcast(keys) if self.few else keys, "digest", "left_semi")
+
+
+def duplicate_groups(docs: DataFrame, text: str = "text", ident: str = "doc_id", batches: int = BATCHES) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256``, a row per row of docs."""
+    found = Copies(docs, text, ident, batches)
+    salt = F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")
+    out = lookup(found.rows, found.known, "digest", salt, "n", found.total)
+    if found.clash is not None:  # two texts of one SHA-256
+        out = out.join(found.clash, "digest", "left_anti")
+        rows = found.whole.join(found.clash, "digest", "left_semi")
+        out = out.unionByName(rows.join(found.apart, ["digest", "text"]).select("doc_id", "digest", "top", "n"))
+    kept = F.col("doc_id").eqNullSafe(F.col("top"))
     return out.select("doc_id", F.col("top").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """The rows of docs that stay; of rows equal in doc_id and text, one."""
-    scratch = Scratch(docs.sparkSession, "withoutcopies")
-    stay = scratch.keep(duplicate_groups(docs, text, ident).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")), "stay")
-    digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
-    out = docs.withColumn("_own", digest)
-    if not stay.groupBy("_id", "_digest").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([ident, "_own"])
-    match = F.col(ident).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
-    return out.join(stay, match, "left_semi").drop("_own")
+    """The rows of docs that stay; of rows equal in doc_id and text, one.
+
+    Rows whose text is alone pass; only those that stay of the others are dealt.
+    """
+    found = Copies(docs, text, ident)
+    own, mark, size = (unused(name, docs) for name in ("digest", "group", "size"))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.withColumn(own, F.unhex(F.sha2(body, 256)))
+    groups = found.several.select(F.col("digest").alias(own), F.struct("top").alias(mark), F.col("n").alias(size))
+    if found.clash is not None:  # told apart by their text as well
+        text_of = unused("text_of", docs)
+        groups = groups.join(found.clash.select(F.col("digest").alias(own)), own, "left_anti")
+        apart = found.apart.select(F.col("digest").alias(own), F.col("text").alias(text_of), F.struct("top").alias(mark), F.col("n").alias(size))
+        some = rows.join(found.clash.select(F.col("digest").alias(own)), own, "left_semi").withColumn(text_of, body)
+        told = some.join(apart, [own, text_of], "left").where(F.col(ident).cast("long").eqNullSafe(F.col(mark)["top"])).dropDuplicates([own, text_of])
+        rows = rows.join(found.clash.select(F.col("digest").alias(own)), own, "left_anti")
+    if found.few:
+        rows = rows.join(F.broadcast(groups), own, "left")
+    else:
+        rows = lookup(rows, groups, own, F.encode(F.coalesce(F.col(ident).cast("string"), F.lit("")), "UTF-8"), size, found.total)
+    stays = rows.where(F.col(mark).isNull()).select(*map(quoted, docs.columns))
+    tops = rows.where(F.col(mark).isNotNull() & F.col(ident).cast("long").eqNullSafe(F.col(mark)["top"])).dropDuplicates([own])
+    stays = stays.unionByName(tops.select(*map(quoted, docs.columns)))
+    return stays if found.clash is None else stays.unionByName(told.select(*map(quoted, docs.columns)))
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    """All rows of ``documents``, nulls as empty text: a row for each, dropped ones too; an empty table gives none."""
     return duplicate_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

@@ -15,10 +15,13 @@ HOT_SHARE = 1000
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a folder of this machine is made and set.
+    Only where the setting is absent and all runs in one process (local tests) a folder of this
+    machine is made and set; on a cluster a missing setting is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -55,9 +58,9 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete all scratch tables of this process; results that read them must have been written."""
-    while Scratch.made:
+def clear(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables made from the ``since``-th on; results that read them must have been written."""
+    while len(Scratch.made) > since:
         _delete(spark, Scratch.made.pop())
 
 
@@ -66,12 +69,28 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python workers: batches by bytes rather than 10,000 rows of any length."""
+    """Bound the memory of Python workers: batches by bytes rather than 10,000 rows of any length.
+
+    Results are lazy, so the session's setting has to stay lowered until they have run.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(name, BATCH_BYTES)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever case names are compared in."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,7 +13,8 @@ verified on all 64 bits.
 
 Rows with a null doc_id have the component of the documents of their fingerprint (null, if none
 has an id). Null or wordless texts have fingerprint zero, linked like any other. Repeated rows and equal
-fingerprints are one node; a table without rows gives no rows. Extra columns are ignored.
+fingerprints are one node; a very long text is one fingerprint like any other; a table without
+rows gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.graphs import components
-from weftline.llm.scratch import Scratch, lookup, parts, small_batches
+from weftline.llm.scratch import Scratch, lookup, parts, small_batches, unused
 from weftline.llm.textcode import SPACE, U, column_bytes, lower_table, ranges, slices, word_spans
 
 WORDS = 3
@@ -231,9 +232,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id")
 
 def one_of_each(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """The rows of docs that name their component; of rows with one doc_id there, all stay."""
-    found = near_duplicates(docs, text, ident).where("doc_id <=> component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(found, F.col(ident).cast("long").eqNullSafe(F.col("_stay")), "left_semi")
+    stay = unused("stay", docs)
+    found = near_duplicates(docs, text, ident).where("doc_id <=> component_id").select(F.col("doc_id").alias(stay)).distinct()
+    return docs.join(found, F.col(ident).cast("long").eqNullSafe(F.col(stay)), "left_semi")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``, wordless ones as fingerprint zero: a row for each; an empty table gives none."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

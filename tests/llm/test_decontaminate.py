@@ -59,3 +59,29 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [tuple(r)[:4] for r in dc.contamination(d, none).collect()] == [(1, 2, 0, 0)]
     assert dc.contamination(d.limit(0), none).count() == 0
+
+
+def test_long_and_repeated_items(spark, monkeypatch):
+    """Long items are cut without losing a window, copies of one row count once, and no block is larger than stated."""
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("abcdefgh") + rng.choice("xyz") * rng.randint(0, 3) for _ in range(n))
+    items = [(i, text(rng.choice([3, 12, 400]))) for i in range(20)] + [(99, text(30))] * 500
+    docs = [(i, text(20) + " " + rng.choice(items)[1][-rng.randint(30, 900) :] + " " + text(20)) for i in range(40)]
+    found = dc.blocks_of(spark.createDataFrame(items, "item_id long, text string"), dc.Scratch(spark, "test"), 600)
+    seen = [sum(len(t.encode()) + len(i) + 64 for i, t in block) for block in found]
+    assert len(seen) > 5 and max(seen) <= 600
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert sorted(map(tuple, dc.contamination(d, b, block_bytes=4000).collect())) == want
+    kept = {r.doc_id for r in dc.decontaminated(d, b, block_bytes=4000).collect()}
+    assert kept == {w[0] for w in want if not w[-1]}
+
+
+def test_windows_of_one_hash(monkeypatch):
+    """Windows that share a hash stay apart."""
+    monkeypatch.setattr(dc.Words, "grams", lambda self, k: (lambda g: (g * 0 + 7, __import__("numpy").arange(len(g)) + k <= self.last[: len(g)]))(dc.grams(self.hash, k)))
+    one, two = " ".join("abcdefghij"), " ".join("klmnopqrst")
+    index = dc.Index([one, two], ["1", "2"])
+    w = dc.Words(*dc.column_bytes(dc.pa.array([two + " z", "z " + one, "z"])))
+    hit, items = index.hits(w)
+    assert items == {0: {"2"}, 1: {"1"}} and hit.sum() == 20

@@ -6,12 +6,15 @@ one hash at the same place on both sides. Kept hashes are joined; around each me
 windows of ten words that hold it are looked up among the item windows and compared byte by byte.
 An item of fewer than ten words is one window, looked for at every place.
 
-The benchmark is the stated query set. It is dealt into blocks of at most BLOCK_BYTES (measured
-first), each broadcast and passed over all documents, so any size of benchmark gives whole results.
+The benchmark is the stated query set. Repeated rows of it count once; items longer than a
+quarter of a block go as pieces that overlap by nine words, so that every window is in one. What
+that leaves is dealt into blocks whose sizes are measured: none holds more than BLOCK_BYTES, each
+is broadcast and passed over the documents, so any size of benchmark gives whole results.
 
 Null texts have no words. Repeated document rows give a row each; repeated items count once by
-item_id, and a null item_id counts as the id ``null``. Empty tables give no rows or no hits.
-Other columns are ignored.
+item_id, and a null item_id counts as the id ``null``. A very long document is read whole, in a
+slice of its own. Empty tables give no rows or no hits. Other columns, whatever their names, are
+ignored or carried.
 """
 
 from __future__ import annotations
@@ -106,22 +109,24 @@ class Index:
         item = np.repeat(np.arange(len(texts)), n)
         g, ok = w.grams(GRAM)
         self.kept = np.unique(g[winnow(g, ok)])
-        self.windows: dict[int, tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = {}
+        # words of a window, hashes, places, items: a second entry for k has windows whose hash another one has as well
+        self.windows: list[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]] = []
         for k in np.unique(np.minimum(n[n > 0], WINDOW)).tolist():
             h, ok = w.grams(k)
             at = np.flatnonzero(ok & ((n == k) | (k == WINDOW))[item[: len(ok)]])
             at = at[np.argsort(h[at], kind="stable")]
-            key, lead = np.unique(h[at], return_index=True)
-            self.windows[k] = key, at[lead], [np.unique(item[x]) for x in np.split(at, lead[1:])]
-            # two different windows of one hash would hide each other
-            if not same_words(w, at, w, np.repeat(at[lead], np.diff([*lead, len(at)])), k).all():
-                raise ValueError("two benchmark windows have one hash; change the seed of textcode.constants")
+            while len(at):
+                key, lead = np.unique(h[at], return_index=True)
+                same = same_words(w, at, w, np.repeat(at[lead], np.diff([*lead, len(at)])), k)
+                of = np.repeat(np.arange(len(lead)), np.diff([*lead, len(at)]))[same]
+                self.windows.append((k, key, at[lead], [np.unique(item[x]) for x in np.split(at[same], np.flatnonzero(np.diff(of)) + 1)]))
+                at = at[~same]
         self.ids = np.array(ids, object)
 
     def hits(self, w: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Which words of w are hit, and the items found in each text that has any."""
         starts, ends, items = [], [], {}
-        for k, (key, at, lists) in self.windows.items():
+        for k, key, at, lists in self.windows:
             h, ok = w.grams(k)
             if k == WINDOW:
                 g, whole = w.grams(GRAM)
@@ -148,24 +153,56 @@ class Index:
         return covered(np.concatenate(starts), np.concatenate(ends), len(w)), items
 
 
-def _spans(hit: np.ndarray) -> bytes:
-    return np.packbits(hit).tobytes()
+def _pieces(texts: list[str], ids: list[str], most: int) -> Iterator[tuple[str, str]]:
+    """(id, text) of items, those of over ``most`` bytes in pieces that overlap by WINDOW - 1 words."""
+    for ident, text in zip(ids, texts):
+        raw = text.encode()
+        if len(raw) <= most:
+            yield ident, text
+            continue
+        flat, start, end, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), _TABLE)
+        lo = 0
+        while lo < len(start):
+            hi = max(lo + WINDOW, int(np.searchsorted(end, start[lo] + most, "right")))
+            hi = len(start) if hi + 1 >= len(start) else hi
+            yield ident, raw[start[lo] : end[hi - 1]].decode()
+            lo = len(start) if hi == len(start) else hi - WINDOW + 1
+
+
+def blocks_of(benchmark: DataFrame, scratch: Scratch, block_bytes: int) -> list[list[tuple[str, str]]] | Iterator[list[tuple[str, str]]]:
+    """The distinct items (item_id, text) in blocks of at most ``block_bytes``: a list of one, or each collected when its turn comes."""
+    query = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                rows = list(_pieces(piece.column("text").to_pylist(), piece.column("item_id").to_pylist(), max(1, block_bytes // 4)))
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.string()) for j in (0, 1)], ["item_id", "text"])
+
+    rows = scratch.keep(query.mapInArrow(cut, "item_id string, text string").distinct(), "items")
+    weight = F.octet_length("text") + F.octet_length("item_id") + 64
+    total, longest = rows.agg(F.sum(weight), F.max(weight)).first()
+    blocks = max(1, -(-(total or 0) // block_bytes))
+    place = lambda n: F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    # a number per block; more blocks until each fits (one word may be longer than a block, and then is a block)
+    while blocks > 1 and rows.groupBy(place(blocks).alias("b")).agg(F.sum(weight).alias("w")).agg(F.max("w")).first()[0] > max(block_bytes, longest):
+        blocks += -(-blocks // 4)
+    found = ([(r.item_id, r.text) for r in rows.where(place(blocks) == b).collect()] for b in range(blocks))
+    return list(found) if blocks == 1 else found
 
 
 def hit_words(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_words, n_hit, items (sorted array of ids)``, a row per document."""
     spark = docs.sparkSession
     small_batches(spark)
+    scratch = Scratch(spark, "decontaminate")
     base = docs.select(F.col(ident).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    query = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = query.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    blocks = blocks_of(benchmark, scratch, block_bytes)
     kind = base.schema["doc_id"].dataType.simpleString()
-    one = blocks == 1
+    one = isinstance(blocks, list)
 
-    def over(block: int) -> DataFrame:
-        rows = query.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # at most about block_bytes
-        sent = spark.sparkContext.broadcast(([r.text for r in rows], [r.item_id for r in rows]))
+    def over(items: list[tuple[str, str]], every: bool) -> DataFrame:
+        sent = spark.sparkContext.broadcast(([t for _, t in items], [i for i, _ in items]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index(*sent.value)
@@ -179,18 +216,18 @@ def hit_words(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident:
                     cols.append(pa.array([sorted(items.get(i, ())) for i in range(len(n))], pa.list_(pa.string())))
                     names = ["doc_id", "n_words", "n_hit", "items"]
                     if not one:
-                        cols += [piece.column("row"), pa.array([_spans(hit[a:b]) if i in items else None for i, (a, b) in enumerate(zip(w.first[:-1], w.first[1:]))], pa.binary())]
+                        cols += [piece.column("row"), pa.array([np.packbits(hit[a:b]).tobytes() if i in items else None for i, (a, b) in enumerate(zip(w.first[:-1], w.first[1:]))], pa.binary())]
                         names += ["row", "bits"]
-                    yield pa.RecordBatch.from_arrays(cols, names)
+                    out = pa.RecordBatch.from_arrays(cols, names)
+                    yield out if every else out.filter(out.column("bits").is_valid())
 
         more = "" if one else ", row long, bits binary"
         return base.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>{more}")
 
     if one:
-        return over(0)
-    scratch = Scratch(spark, "decontaminate")
+        return over(blocks[0], True)
     base = scratch.keep(base.withColumn("row", F.monotonically_increasing_id()), "documents")  # a name for each row, fixed by writing it
-    found = [scratch.keep(over(b).where("bits is not null or " + str(b) + " = 0"), f"block{b}") for b in range(blocks)]
+    found = [scratch.keep(over(items, b == 0), f"block{b}") for b, items in enumerate(blocks)]
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
@@ -218,12 +255,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", bl
     spark = docs.sparkSession
     small_batches(spark)
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    query = benchmark.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = query.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    for block in range(blocks):
-        texts = [r.text for r in query.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()]  # at most about block_bytes
-        sent = spark.sparkContext.broadcast(texts)
+    query = benchmark.select(F.lit("").alias("item_id"), "text")
+    for items in blocks_of(query, Scratch(spark, "decontaminated"), block_bytes):
+        sent = spark.sparkContext.broadcast([t for _, t in items])
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(sent.value, [""] * len(sent.value))
@@ -238,6 +272,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", bl
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` against all of ``benchmark``: a row for each document, null texts without words; empty tables give no rows or no hits."""
     return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -55,7 +55,7 @@ def test_windows_cover_every_word():
 
 
 def test_unseen_texts():
-    net = tx.fit(*sample(1))
+    net = tx.fit_texts(*sample(1))
     texts, label = sample(2, 300)
     score = net.score(pa.array(texts))
     assert ((score >= tx.THRESHOLD) == label).mean() > 0.97
@@ -75,18 +75,79 @@ def test_query_shape(spark):
     assert tx.scored(docs.limit(0), tx.train(docs.limit(0), labels)).count() == 0
 
 
-def test_calibrated_on_whole_texts(spark, monkeypatch):
-    """The curve is fitted to the highest windows of whole texts, though the network sees segments."""
-    monkeypatch.setattr(tx, "SEGMENT", 300)
-    texts, label = sample(5, 200)
-    assert min(len(t) for t in texts) < 300 < max(len(t) for t in texts)
+def test_curve_and_windows_come_from_whole_texts(spark, monkeypatch):
+    """Toxic words stand anywhere in long texts: they are found, and the curve sees highest windows of whole texts."""
+    rng = random.Random(5)
+    label = np.array([int(rng.random() < 0.3) for _ in range(300)])
+    texts = [text(rng, rng.randint(20, 700)) + " " + text(rng, 20, 4 * int(y)) + " " + text(rng, rng.randint(1, 700)) for y in label]
     seen = []
-    monkeypatch.setattr(tx.Network, "calibrate_on", lambda net, x, y, prior: seen.append((net, x, y)), raising=False)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id long, toxic int")
-    tx.train(docs, labels)
-    (net, x, y), = seen
+    curve = tx.Network.calibrate
+    monkeypatch.setattr(tx.Network, "calibrate", lambda net, x, y, prior: seen.append((x, y)) or curve(net, x, y, prior))
+    docs = spark.createDataFrame([(i, t, 1, "z") for i, t in enumerate(texts)], "doc_id long, text string, h int, y string")
+    net = tx.train(docs, spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id long, toxic int"))
+    (x, y), = seen
     high = net.highest(tx._text(texts))
-    assert len(x) > 10 and set(y.tolist()) == {0, 1}
     for v in (0, 1):
         assert all(np.abs(high[label == v] - a).min() < 1e-3 for a in x[y == v])
+    assert ((net.score(pa.array(texts)) >= tx.THRESHOLD) == label).mean() > 0.95
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_sample_is_bounded(spark, monkeypatch, same):
+    """One doc_id on very many rows is one label and at most ``negative`` texts; no row is collected whole."""
+    seen = []
+    monkeypatch.setattr(tx, "fit", lambda draw, highest, prior: seen.append(draw(None, 0)) or tx.Network(np.zeros(0, np.uint64)))
+    rows = [(3, "one text" if same else f"text number {i} " + "word " * 300) for i in range(3000)] + [(i, f"other {i}") for i in range(100, 160)]
+    labels = [(3, 0), (3, 0), *((i, i % 2) for i in range(100, 160))]
+    tx.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), positive=10, negative=50)
+    (windows, target), = seen
+    assert len(windows) <= tx.EACH * 60 and target.sum() <= 10
+
+
+def plain(net, raw):
+    """The score by loops over windows, words and states, apart from the array code."""
+    from weftline.llm.textcode import column_bytes, span_hashes
+
+    p = {k: x.astype(float) for k, x in net.p.items()}
+    low = bytes(tx._TABLE[c] for c in raw.encode())
+    words = low.split()
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def enter(w):
+        marked, rows = b"<" + w + b">", []
+        for k in (3, 5):
+            for i in range(len(marked) - k + 1):
+                h = k
+                for c in marked[i : i + k]:
+                    h = (h * int(tx._GRAM[0]) + c) % 2**64
+                rows.append(p["char"][(h * int(tx._GRAM[1]) % 2**64) >> (64 - (tx.CHAR_BUCKETS.bit_length() - 1))])
+        data, off = column_bytes(pa.array([w.decode()]))
+        own = np.flatnonzero(net.vocabulary == span_hashes(data, off[:1], off[1:])[0])
+        return np.concatenate([p["word"][own[0] + 1 if len(own) else 0], np.mean(rows, 0)])
+
+    best = -np.inf
+    starts = [0]
+    while starts[-1] + tx.WINDOW < len(words):
+        starts.append(starts[-1] + tx.STRIDE)
+    for a in starts:
+        xs = [enter(w) for w in words[a : a + tx.WINDOW]]
+        ways = []
+        for way, seq in (("f", xs), ("b", xs[::-1])):
+            h, out = np.zeros(tx.HIDDEN), []
+            for x in seq:
+                i, g = x @ p["x" + way] + p["c" + way], h @ p["u" + way]
+                z, r = sig(i[: tx.HIDDEN] + g[: tx.HIDDEN]), sig(i[tx.HIDDEN : 2 * tx.HIDDEN] + g[tx.HIDDEN : 2 * tx.HIDDEN])
+                new = np.tanh(i[2 * tx.HIDDEN :] + r * g[2 * tx.HIDDEN :])
+                h = new + z * (h - new)
+                out.append(h)
+            ways.append(out if way == "f" else out[::-1])
+        states = np.concatenate(ways, 1)
+        e = np.exp(np.tanh(states @ p["a"] + p["ac"]) @ p["v"])
+        best = max(best, float((e / e.sum()) @ states @ p["o"] + p["oc"][0]))
+    return 1 / (1 + np.exp(-(net.slope * np.clip(best, -30, 30) + net.shift)))
+
+
+def test_equals_plain_scorer():
+    net = tx.fit_texts(*sample(1, 200))
+    texts = [x for x in sample(4, 12)[0]] + ["Zorguti", "a b c " * 70, "é"]
+    assert np.allclose(net.score(pa.array(texts)), [plain(net, x) for x in texts], atol=2e-3)

@@ -5,12 +5,19 @@ word enters as its own embedding (words of the training sample's vocabulary) bes
 hashed embeddings of its byte 3- and 5-grams, so unknown forms of a known stem are recognised.
 Two gated recurrent passes, attention over their states and a linear layer score each window;
 a text's score is that of its highest window through a logistic curve fitted on a part of the
-sample that training doesn't see. Labels belong to texts, so after the first epochs a positive
-text's windows only train as positive where the network finds them the likelier ones.
+sample that training doesn't see.
+
+Labels belong to texts, so windows have to be found that bear them out. Executors draw EACH windows
+of every sampled text, from its whole length: at random at first, later the one that the network
+so far finds the likeliest beside others at random, of a positive text only such as it finds
+likely. Only these windows reach the driver; the curve is fitted to highest windows of whole texts.
+
+The sample is the only bound of the fit: at most POSITIVE and NEGATIVE labelled texts. Copies of
+one doc_id and text count once; of two labels of one doc_id the greater holds.
 
 Every window of every whole text is scored. Texts without words (null, empty) score 0. Repeated
-rows score alike; null labels are not learnt from; without labels of both kinds all scores are
-the share of positives. Empty tables give no rows. Extra columns are ignored.
+rows score alike; null labels and null doc_ids are not learnt from; without labels of both kinds
+all scores are the share of positives. Empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weftline.llm.langid import held_out
-from weftline.llm.scratch import small_batches
+from weftline.llm.scratch import Scratch, parts, small_batches
 from weftline.llm.textcode import U, column_bytes, constants, lower_table, ranges, slices, span_hashes, word_spans
 
 WINDOW, STRIDE = 64, 48
@@ -31,19 +39,17 @@ HIDDEN, ATTENTION, WORD_DIM, CHAR_DIM = 8, 8, 8, 16
 CHAR_BUCKETS = 1 << 15
 #: Words kept as such, and in how many training windows a word must be for that.
 VOCABULARY, SEEN = 4096, 8
-#: The model is fitted on about so many labelled rows of either kind.
-POSITIVE, NEGATIVE = 1500, 4500
+#: The model is fitted on at most so many labelled texts of either kind.
+POSITIVE, NEGATIVE = 1200, 3600
 CALIBRATION = 0.2
-#: Of a longer text the fit sees so many characters, from a place that its id decides; and texts whose arrays are made at once.
-SEGMENT, PART = 6000, 400
-#: Windows of one text that train in an epoch.
-EACH = 4
+#: Windows whose arrays are made at once.
+PART = 1600
+#: Windows of one text that train at a time, and how often they are drawn.
+EACH, DRAWS = 4, 8
 EPOCHS, BATCH, RATE, DECAY = 5, 128, 0.01, 1e-5
 #: A small sample is gone over until so many steps are made.
 STEPS = 250
 THRESHOLD = 0.3
-#: Negative texts of one repeated word that are added to the sample.
-ECHOES = 300
 _WORD = bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 _TABLE = lower_table(word=_WORD)
 _GRAM = constants(6, 41)
@@ -58,6 +64,7 @@ class Text:
 
     def __init__(self, data: np.ndarray, off: np.ndarray, window: int = WINDOW, stride: int = STRIDE):
         flat, start, end, self.first = word_spans(data, off, _TABLE)
+        self.flat, self.begin, self.stop = flat, start, end
         self.hash, lead, self.word = np.unique(span_hashes(flat, start, end), return_index=True, return_inverse=True)
         start, end = start[lead], end[lead]
         # distinct words between marks, one after another
@@ -89,6 +96,11 @@ class Text:
         self.start = np.repeat(self.first[:-1], count) + stride * ranges(np.zeros(len(n), np.int64), count)
         self.size = np.minimum(window, np.repeat(self.first[1:], count) - self.start)
 
+    def strings(self, some: np.ndarray) -> list[str]:
+        """The words of these windows, as text."""
+        raw = self.flat.tobytes()
+        return [raw[a:b].decode() for a, b in zip(self.begin[self.start[some]].tolist(), self.stop[self.start[some] + self.size[some] - 1].tolist())]
+
 
 class Network:
     def __init__(self, vocabulary: np.ndarray, seed: int = 1):
@@ -202,20 +214,27 @@ class Network:
         grad["char"][bucket] = np.add.reduceat((dx[:, WORD_DIM:] / c["n"][:, None].astype(np.float32))[owner], at)
         return grad
 
-    def fit(self, parts: list[Text], labels: list[np.ndarray], rng: np.random.Generator) -> Network:
-        """labels: of each text of each part, 0 or 1. A batch comes from one part; their order is new in every epoch."""
+    def fit(self, windows: list[Text], targets: list[np.ndarray], draw: Callable[[Network, int], tuple[list[Text], list[np.ndarray]]], rng: np.random.Generator) -> Network:
+        """Train on windows with their targets; ``draw`` gives others, found with the network so far. A batch comes from one part."""
         first = {k: np.zeros_like(x) for k, x in self.p.items()}
         second = {k: np.zeros_like(x) for k, x in self.p.items()}
-        texts = sum(len(y) for y in labels)
-        share = min(max(sum(float(y.sum()) for y in labels) / texts, 1e-3), 1 - 1e-3)
-        step = 0
-        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, sum(min(len(t.text), EACH * len(y)) for t, y in zip(parts, labels)))))
+        step, turn = 0, 1
+        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, sum(len(t.text) for t in windows))))
         for epoch in range(epochs):
+            # drawn anew from two fifths of the epochs on
+            if turn < DRAWS and epoch * 5 * (DRAWS - 1) >= epochs * (2 * (DRAWS - 1) + 3 * (turn - 1)):
+                windows, targets = draw(self, turn)
+                turn += 1
+            total = sum(len(y) for y in targets)
+            share = min(max(sum(float(y.sum()) for y in targets) / total, 1e-3), 1 - 1e-3)
             rate = RATE * (1 - 0.9 * epoch / epochs)
-            for k in rng.permutation(len(parts)):
-                for some, target in self._batches(parts[k], labels[k], rng, epoch * 5 >= epochs * 2):
+            for k in rng.permutation(len(windows)):
+                order = rng.permutation(len(targets[k]))
+                for lo in range(0, len(order), BATCH):
+                    some = order[lo : lo + BATCH]
+                    target = targets[k][some]
                     cache: dict = {}
-                    out = self.forward(parts[k], some, cache)
+                    out = self.forward(windows[k], some, cache)
                     weight = np.minimum(np.where(target > 0, 0.5 / share, 0.5 / (1 - share)), 5)
                     grad = self.backward(cache, (_sigmoid(out) - target) * weight / len(some))
                     step += 1
@@ -226,25 +245,6 @@ class Network:
                         self.p[name] -= rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
         return self
 
-    def _batches(self, t: Text, label: np.ndarray, rng: np.random.Generator, choose: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Windows to train on, with their targets. choose: doubt positive ones and prefer hard negative ones."""
-        target = label[t.text].astype(np.float32)
-        trust = np.ones(len(target), bool)
-        turn = rng.random(len(target))
-        if choose and len(target):
-            score = self.windows(t)
-            best = np.full(len(label), -np.inf)
-            np.maximum.at(best, t.text, score)
-            trust = (target == 0) | (score >= best[t.text]) | (score >= 0)
-            turn[(target == 0) & (score == best[t.text])] = -1
-        # the first EACH windows of each text in a new order
-        pick = np.lexsort((turn, t.text))
-        pick = rng.permutation(pick[np.arange(len(pick)) - np.searchsorted(t.text[pick], t.text[pick]) < EACH])
-        pick = pick[trust[pick]]
-        for lo in range(0, len(pick), BATCH):
-            some = pick[lo : lo + BATCH]
-            yield some, target[some]
-
     def windows(self, t: Text) -> np.ndarray:
         return self.forward(t, np.arange(len(t.text))) if len(t.text) else np.zeros(0, np.float32)
 
@@ -254,14 +254,11 @@ class Network:
         np.maximum.at(out, t.text, self.windows(t))
         return out
 
-    def calibrate(self, parts: list[Text], label: np.ndarray, prior: float) -> None:
+    def calibrate(self, x: np.ndarray, label: np.ndarray, prior: float) -> None:
         """Fit the logistic curve from highest logits to labels (Newton steps, a little shrinkage).
 
         prior: the share of positives among all labels, which the sample's differs from.
         """
-        self.calibrate_on(np.concatenate([self.highest(t) for t in parts]), label, prior)
-
-    def calibrate_on(self, x: np.ndarray, label: np.ndarray, prior: float) -> None:
         ok = np.isfinite(x)
         x, y = np.clip(x[ok], -30, 30), label[ok].astype(np.float64)
         if not len(x) or y.min() == y.max():
@@ -288,10 +285,30 @@ def _text(texts: list[str]) -> Text:
     return Text(*column_bytes(pa.array(texts, pa.string())))
 
 
-def _parts(texts: list[str], label: np.ndarray, which: np.ndarray) -> tuple[list[Text], list[np.ndarray]]:
-    """PART texts at a time, so that memory does not grow with the sample."""
-    lists = [which[lo : lo + PART] for lo in range(0, len(which), PART)]
-    return [_text([texts[i] for i in x]) for x in lists], [label[x] for x in lists]
+def drawn(t: Text, label: np.ndarray, seeds: np.ndarray, turn: int, net: Network | None) -> np.ndarray:
+    """Windows of each text to train on: EACH at random, or with ``net`` the likeliest of the text
+    and others at random, of a positive text those with a logit of 0 or more."""
+    order = np.empty(len(t.text))
+    for i, seed in enumerate(seeds.tolist()):
+        a, b = np.searchsorted(t.text, [i, i + 1])
+        order[a:b] = np.random.default_rng([seed & 0xFFFFFFFF, turn]).random(b - a)
+    trust = np.ones(len(t.text), bool)
+    if net is not None and len(t.text):
+        score = net.windows(t)
+        best = np.full(len(label), -np.inf)
+        np.maximum.at(best, t.text, score)
+        order[score >= best[t.text]] = -1
+        trust = (label[t.text] == 0) | (score >= best[t.text]) | (score >= 0)
+    pick = np.lexsort((order, t.text))
+    pick = pick[np.arange(len(pick)) - np.searchsorted(t.text[pick], t.text[pick]) < EACH]
+    return pick[trust[pick]]
+
+
+def _parts(windows: list[str], target: np.ndarray, rng: np.random.Generator) -> tuple[list[Text], list[np.ndarray]]:
+    """PART windows at a time, so that memory does not grow with the sample."""
+    order = rng.permutation(len(windows))
+    lists = [order[lo : lo + PART] for lo in range(0, len(order), PART)]
+    return [_text([windows[i] for i in x]) for x in lists], [target[x].astype(np.float32) for x in lists]
 
 
 def _vocabulary(parts: list[Text]) -> np.ndarray:
@@ -308,65 +325,78 @@ def _vocabulary(parts: list[Text]) -> np.ndarray:
     return np.sort(key[often[total[often] >= SEEN]])
 
 
-def _with_echoes(texts: list[str], label: np.ndarray, late: np.ndarray, rng: np.random.Generator) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The sample and ECHOES more negative texts, each one clean word over and over: such rows say nothing of toxicity."""
-    clean = np.flatnonzero((label == 0) & ~late)
-    words = [w for i in rng.permutation(clean)[:ECHOES].tolist() for w in (texts[i] or "").split()[:50]]
-    count = min(ECHOES, len(clean) // 10, len(words))
-    echoes = [" ".join([words[int(k)]] * int(n)) for k, n in zip(rng.integers(0, max(1, len(words)), count), rng.integers(5, 2 * WINDOW, count))]
-    return [*texts, *echoes], np.concatenate([label, np.zeros(len(echoes), np.int64)]), np.concatenate([late, np.zeros(len(echoes), bool)])
+Draw = Callable[["Network | None", int], tuple[list[str], np.ndarray]]
 
 
-def fit(texts: list[str], label: np.ndarray, prior: float | None = None, whole: Callable[[Network, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None) -> Network:
-    """whole: highest logits and labels of the whole texts at these places, where ``texts`` are segments."""
+def fit(draw: Draw, highest: Callable[[Network], tuple[np.ndarray, np.ndarray]], prior: float) -> Network:
+    """draw: windows and targets that a network (None: at random) picks in a turn; highest: logits and labels to calibrate on."""
     net = Network(np.zeros(0, np.uint64))
-    if not len(label) or label.min() == label.max() or not any(len(_text(texts[lo : lo + PART]).text) for lo in range(0, len(texts), PART)):
-        net.p, net.floor = {}, float(label.mean()) if len(label) else 0.0
+    windows, target = draw(None, 0)
+    if not len(windows) or target.min() == target.max():
+        net.p, net.floor = {}, prior
         return net
     rng = np.random.default_rng(3)
-    late = rng.random(len(label)) < CALIBRATION
+    parts_, targets = _parts(windows, target, rng)
+    net = Network(_vocabulary(parts_))
+    net.fit(parts_, targets, lambda now, turn: _parts(*draw(now, turn), rng), rng)
+    net.calibrate(*highest(net), prior)
+    return net
+
+
+def fit_texts(texts: list[str], label: np.ndarray) -> Network:
+    """Fit on texts at hand."""
+    late = np.random.default_rng(5).random(len(label)) < CALIBRATION
     if label[late].sum() < 5 or label[~late].sum() < 5:
         late[:] = False
-    rows = len(label)
-    texts, label, late = _with_echoes(texts, label, late, rng)
-    parts, labels = _parts(texts, label, rng.permutation(np.flatnonzero(~late)))
-    net = Network(_vocabulary(parts))
-    net.fit(parts, labels, rng)
-    if late.any():
-        parts, labels = _parts(texts, label, np.flatnonzero(late))
-    prior = float(label.mean()) if prior is None else prior
-    if whole is None:
-        net.calibrate(parts, np.concatenate(labels), prior)
-        return net
-    x, y = whole(net, np.flatnonzero(late) if late.any() else np.arange(rows))
-    if not late.any():
-        parts, labels = _parts(texts, label, np.arange(rows, len(label)))
-        x, y = np.concatenate([x, *[net.highest(t) for t in parts]]), np.concatenate([y, *labels])
-    net.calibrate_on(x, y, prior)
-    return net
+    t, y = _text([x for x, out in zip(texts, late) if not out]), label[~late]
+    rest = _text([x for x, out in zip(texts, late) if out]) if late.any() else t
 
+    def draw(net: Network | None, turn: int) -> tuple[list[str], np.ndarray]:
+        some = drawn(t, y, np.arange(len(y)), turn, net)
+        return t.strings(some), y[t.text[some]]
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", positive: int = POSITIVE, negative: int = NEGATIVE) -> Network:
-    """Fit on about ``positive`` and ``negative`` labelled rows at most, none of them held out.
+    return fit(draw, lambda net: (net.highest(rest), label[late] if late.any() else y), float(label.mean()) if len(label) else 0.0)
 
-    The network sees a segment of each; the logistic curve is fitted to the highest windows of
-    whole texts, which executors compute: a number per row of the sample reaches the driver.
-    """
+
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", positive: int = POSITIVE, negative: int = NEGATIVE) -> Network:
+    """Fit on at most ``positive`` and ``negative`` labelled texts, none of them held out."""
     spark = docs.sparkSession
     small_batches(spark)
+    scratch = Scratch(spark, "toxicity")
     known = labels.select(F.col("doc_id").alias("i"), F.col(label).cast("int").alias("y")).where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out("i", 4, 2))
     known = known.groupBy("i").agg(F.max("y").alias("y"))  # repeated rows of a label count once
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = F.when(F.col("y") == 1, min(1.0, positive / counts.get(1, 1))).otherwise(min(1.0, negative / counts.get(0, 1)))
-    draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    few = known.where(draw < rate)
-    base = docs.select(F.col(ident).alias("i"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull())
-    begin = F.pmod(F.xxhash64("i", F.lit("segment")), F.greatest(F.length("t") - SEGMENT, F.lit(0)) + 1).cast("int") + 1
-    cut = base.withColumn("t", F.col("t").substr(begin, F.lit(SEGMENT)))
-    # few has about positive + negative rows, whatever the tables' sizes
-    sample = sorted((r.i, r.t, r.y) for r in cut.join(F.broadcast(few), "i").collect())
-
-    def whole(net: Network, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    most = {1: positive, 0: negative}
+    rate = F.when(F.col("y") == 1, min(1.0, 1.25 * positive / counts.get(1, 1))).otherwise(min(1.0, 1.25 * negative / counts.get(0, 1)))
+    draw_id = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    few = known.where(draw_id < rate)  # about 1.25 (positive + negative) rows at most
+    base = docs.select(F.col(ident).alias("i"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull()).withColumn("h", F.xxhash64("i", "t"))
+    # which texts, by their hashes alone: a doc_id may stand on very many rows
+    keys = base.select("i", "h").join(F.broadcast(few), "i").select("h", "y").distinct()
+    keys = keys.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).where(F.col("r") <= F.when(F.col("y") == 1, most[1]).otherwise(most[0]))
+    keys = scratch.keep(keys.select("h", "y").coalesce(1), "keys")
+    sample = base.select("h", "t").join(F.broadcast(keys), "h").dropDuplicates(["h"])
+    sample = scratch.keep(sample.repartition(parts(spark), "h").withColumn("late", F.pmod(F.xxhash64("h", F.lit("late")), F.lit(1000)) < int(1000 * CALIBRATION)), "sample")
+    have = {(r.late, r.y): r.n for r in sample.groupBy("late", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    apart = have.get((True, 1), 0) >= 5 and have.get((False, 1), 0) >= 5
+    seen = sample.where("not late") if apart else sample
+    rest = sample.where("late") if apart else sample
+
+    def draw(net: Network | None, turn: int) -> tuple[list[str], np.ndarray]:
+        sent = spark.sparkContext.broadcast(net)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in slices(batch, "t", 700_000):
+                    t, y = Text(*column_bytes(piece.column("t"))), piece.column("y").to_numpy()
+                    some = drawn(t, y, piece.column("h").to_numpy(), turn, sent.value)
+                    yield pa.RecordBatch.from_arrays([pa.array(t.strings(some), pa.string()), pa.array(y[t.text[some]], pa.int32())], ["w", "y"])
+
+        # at most EACH windows of WINDOW words for each text of the sample
+        found = sorted((r.w, r.y) for r in seen.select("h", "t", "y").mapInArrow(run, "w string, y int").collect())
+        return [w for w, _ in found], np.array([y for _, y in found], np.int64)
+
+    def highest(net: Network) -> tuple[np.ndarray, np.ndarray]:
         sent = spark.sparkContext.broadcast(net)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,11 +405,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "
                     high = sent.value.highest(Text(*column_bytes(piece.column("t"))))
                     yield pa.RecordBatch.from_arrays([pa.array(high, pa.float64()), piece.column("y")], ["x", "y"])
 
-        asked = spark.createDataFrame(sorted({(sample[k][0], sample[k][2]) for k in which.tolist()}), few.schema)
-        found = sorted((r.x, r.y) for r in base.join(F.broadcast(asked), "i").select("t", "y").mapInArrow(run, "x double, y int").collect())
+        found = sorted((r.x, r.y) for r in rest.select("t", "y").mapInArrow(run, "x double, y int").collect())
         return np.array([x for x, _ in found], np.float64), np.array([y for _, y in found], np.int64)
 
-    return fit([t for _, t, _ in sample], np.array([y for *_, y in sample], np.int64), counts.get(1, 0) / max(1, sum(counts.values())), whole)
+    net = fit(draw, highest, counts.get(1, 0) / max(1, sum(counts.values())))
+    scratch.drop("sample")
+    return net
 
 
 def scored(docs: DataFrame, net: Network, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -397,6 +428,7 @@ def scored(docs: DataFrame, net: Network, text: str = "text", ident: str = "doc_
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
+    """All ``documents``: a row for each, wordless texts with score 0; an empty table gives none."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = scored(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -76,7 +76,10 @@ def test_broken_markup(source):
 
 
 def test_classes_and_slots():
-    t = Template([Page(page(i, "<p>x</p>" * (i + 1), menu=[f"m{j}" for j in range(3)])) for i in range(4)])
+    pages = [Page(page(i, "<p>x</p>" * (i + 1), menu=[f"m{j}" for j in range(3)])) for i in range(4)]
+    for p in pages:
+        p.place(set())
+    t = Template(pages)
     assert [k.split("|")[0] for k in t.root][:5] == ["html", "head", "/head", "body", "nav"]
     assert len(t.repeated) >= 1  # the menu's items nest in one slot
 
@@ -91,3 +94,69 @@ def test_table(spark):
     assert all(by[(i, f"http://h{i % 3}.example/{i}")] == f"Head {i}\n\nText {i}" for i in range(40))
     assert by[(100, "")] == "" and by[(101, "no url")] == "" and all(len(g[2]) == g[3] for g in got)
     assert extract(df.limit(0)).count() == 0
+
+
+def test_markup_that_is_not_well_quoted():
+    assert main_texts(["<main><p title=it's>Hello don't stop</p><p>next</p></main>"]) == ["Hello don't stop\n\nnext"]
+    assert main_texts(["<main><script src=x />var a=1;</script><svg/><p>Text</p></main>"]) == ["Text"]
+    assert main_texts(["<main><p data-x='a>b' y=\"c>d\" z>Text</p></main>"]) == ["Text"]
+
+
+@pytest.mark.parametrize("open_, close", [('<div class="social-science"><p>', "</p></div>"), ('<h2 class="banner-title">', "</h2>"), ('<p>A <q class="label search">', "</q></p>"), ('<p class="x-notice-board">', "</p>")])
+def test_names_that_only_sound_like_furniture(open_, close):
+    pages = [f"<article><p>A first paragraph, number {i}.</p>{open_}more {i}{close}<p>The last of {i}.</p></article>" for i in range(4)]
+    for texts in (main_texts(pages), main_texts(pages[:1])):
+        assert all(f"more {i}" in t and "last of" in t for i, t in enumerate(texts))
+
+
+def hashed(i, n=3):
+    """No name tells anything: classes are hashes, and so is one that changes from page to page."""
+    menu = "".join(f'<span><a href="/{m}">{m}</a></span>' for m in "abcdef")
+    body = "".join(f"<div class='k{i}z9'>Paragraph {j} of page {i} tells its own story, {i * j + 7} words long.</div>" for j in range(n + i % 3))
+    return f'<body><div class="q1">{menu}</div><div class="q2"><div>We use what you let us use.</div></div><div class="w{i}"><h1>Story {i}</h1><div class="q4">{body}<div class="q5">Anna wrote this for all of you.</div></div></div><div class="q6"><div>Imprint of {i}</div></div></body>'
+
+
+def test_the_template_decides():
+    """Without names the slots alone find the article; without a template there is no telling."""
+    pages = [hashed(i) for i in range(6)]
+    want = [f"Story {i}\n\n" + "\n\n".join(f"Paragraph {j} of page {i} tells its own story, {i * j + 7} words long." for j in range(3 + i % 3)) for i in range(6)]
+    assert main_texts(pages) == want
+    assert all("Anna" in t for p in pages for t in main_texts([p]))
+
+
+def brute_classes(token_lists):
+    """Classes of equal occurrence vectors by comparing every token with every other."""
+    vector = lambda t: tuple(x.count(t) for x in token_lists)
+    every = {t for x in token_lists for t in x if all(t in y for y in token_lists)}
+    return {frozenset(u for u in every if vector(u) == vector(t)): vector(t) for t in every}
+
+
+@pytest.mark.parametrize("make", [lambda i: page(i, "<p>x y</p>" * (i + 1)), hashed])
+def test_deduction_equals_brute_force(make):
+    pages = [Page(make(i)) for i in range(5)]
+    for p in pages:
+        p.place(set())
+    t = Template(pages)
+    classes = brute_classes(t.tokens)
+    once = next(c for c, v in classes.items() if v == (1,) * 5)
+    assert set(t.root) <= once
+    orders = [[x for x in y if x in once] for y in t.tokens]
+    if all(o == orders[0] for o in orders):
+        assert set(t.root) == once
+    # root tokens ascend in every page, and none that always stands between its neighbours was left out
+    assert all([x for x in y if x in t.number] == t.root for y in t.tokens)
+    for left in once - set(t.root):
+        assert not any(all([x for x in y if x in t.number or x == left] == t.root[:k] + [left] + t.root[k:] for y in t.tokens) for k in range(len(t.root) + 1))
+    # every slot's text is what stands between two root tokens
+    for i, (p, tokens) in enumerate(zip(pages, t.tokens)):
+        gaps, k = {}, 0
+        for x in tokens:
+            if x in t.number:
+                k = t.number[x]
+            elif x[0] == "'":
+                gaps[k] = gaps.get(k, 0) + len(x.split("|")[0]) - 1
+        got = {}
+        for _, _, _, own in t.placed(i, p.steps):
+            for s, n in own.items():
+                got[s] = got.get(s, 0) + n
+        assert got == gaps

@@ -1,32 +1,36 @@
 """Main text of web pages by deducing the template that pages of a host share.
 
 Pages of one host are read in groups of at most GROUP pages. Each page becomes a row of tokens:
-tags with the path of containers they stand in, and words with that path; in a main container
-whole blocks of text stand for their words. Tokens that occur
-equally often in every page of the group (equal occurrence vectors) form an equivalence class.
-The class that occurs once per page, less those tokens whose order differs between pages, is the
-root of the template; a class that occurs n times per page nests in the one root slot that holds
-all its occurrences, if its tokens alternate there in one order, and is a repeated part of it.
-What stands between two root tokens is a slot. A slot is judged over all pages of the group: by
-the containers that it stands in, by its share of link text (repeated parts with links are
-menus), and by its amount of text. The article is what the main slots hold, less the blocks of
-text that every page with a main container has there: those are template, such as a notice or an
-author's box, whatever the markup calls them. A block that varies in part stays whole. If the
-different rests of the pages hold less text than what they share, the pages are copies of one
-article and keep it. Pages whose markup names no main container are judged among themselves: there
-the article is the container that holds most unlinked text over those pages of the group.
-
-Words in class, id or role that name furniture are a prior. An element so marked is dropped only
-if it holds less than half of the unlinked text, over the pages of the group that have it: of the
-text in main containers, or of all text if it is no part of one. What a name marks and holds the
-greater part is the article, whatever its state is called (no-sidebar, comments-open).
-
-A host with one page is a group of its own: each token is in the class of its count and every
-rule works on that page alone. Hosts with more than 1/1000 of all pages are dealt by page_id.
-
-Defined cases: null or empty html and a main container without text give an empty text; null urls count as one host; broken
-markup is read as far as it goes (an unclosed script, style or comment takes the rest); repeated
-rows give a row each; empty tables give no rows; other columns are ignored.
+tags with the path of containers they stand in, and every word of text with its path. Tokens that
+occur equally often in every page of the group (equal occurrence vectors) form an equivalence
+class. The class that occurs once per page, less those tokens whose order differs between pages,
+is the root of the template; a class that occurs n times per page nests in the one root slot that
+holds all its occurrences, if its tokens alternate there in one order, and is a repeated part of
+it. What stands between two root tokens is a slot, and slots are what is judged and extracted:
+
+* Text that is made of root tokens alone, and a block of text that every page has, are template and
+  no slot's, whatever the markup calls it: site titles, notices, an author's box. A block of text that differs in part between pages is
+  content of the slot that its differing words stand in, and stays whole.
+* A slot has the container that most of its text stands in, its amount of unlinked text over all
+  pages of the group, and its share of links. A repeated part of links is a menu. The article is
+  in the container that holds most text of slots; names are a prior that weighs it (MAIN and
+  MAIN_NAMES for, FURNITURE and NAMES against). If an element named as main stands around it, all
+  of that is meant; else a differing h1 before it belongs to it too.
+* Slots outside it are not extracted, nor are those within it that stand in a furniture container,
+  unless that container is around the heaviest one. Only a container is furniture by its name, and
+  only if all parts of the name say so (comments, ad-slot, but not social-science).
+
+Pages without an element named as main, and pages that lack the container, are judged among
+themselves, so a page whose container is empty has no text while other layouts keep theirs. Classes in paths count only if several of the
+pages have them; digits in them are one. If the differing rests of pages hold less text than what they
+share, the pages are copies of one article: then, and on a page alone, the template is of tags
+only, as no words tell the page's own from the host's.
+
+A host with more than 1/1000 of all pages is dealt by page_id.
+
+Defined cases: null or empty html gives an empty text; null urls count as one host; broken markup
+is read as far as it goes (an unclosed script, style or comment takes the rest); very long pages
+are read whole; repeated rows give a row each; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,173 +50,163 @@ from weftline.llm.scratch import HOT_SHARE, parts, small_batches
 GROUP = 48
 #: A slot whose text is mostly links is a menu.
 LINKED = 0.5
+#: A class is part of a path if one in so many pages has it.
+USUAL = 8
+#: What text weighs in a container that is named as main, and in one that is named as furniture.
+FOR, AGAINST = 4.0, 0.05
 
 # Element names of the HTML standard, and words that name page furniture in class or id.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "canvas", "audio", "video")
+RAW = frozenset("script style noscript template textarea title iframe svg math object select canvas audio video".split())
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 FURNITURE = frozenset("nav footer aside form menu button head dialog fieldset".split())
 MAIN = frozenset("article main".split())
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 blockquote pre td th li dt dd figcaption".split())
 NAMES = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner menu nav navbar navigation topnav breadcrumb breadcrumbs sidebar sidenav widget widgets "
     "footer masthead notice notices cookie cookies consent gdpr newsletter subscribe signup login search social share sharing comment comments disqus replies popup modal overlay related pagination pager".split()
 )
+#: Parts of a name that say nothing of their own.
+GENERIC = frozenset("site page main top bottom left right inner outer box bar area list block section container wrapper wrap slot unit panel group item items content form links link buttons button posts post text message row col widget module and the reader readers user users bottombar thread".split())
 MAIN_NAMES = frozenset("article articlebody main maincontent entrycontent postcontent postbody".split())
 #: An open element of the same kind ends where one of these starts.
 ENDS = {"p": frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table div section article aside header footer nav form blockquote pre hr main figure address fieldset".split()), "li": frozenset(["li"]), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split()), "tr": frozenset(["tr"]), "td": frozenset("td th tr".split()), "th": frozenset("td th tr".split()), "option": frozenset(["option"])}
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-hidden|hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-_CAMEL = re.compile(r"[^a-z0-9]+")
+#: A comment, a tag with its attributes (a value may be quoted, unquoted or missing) or a declaration.
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^=>]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)*)>|<[!?][^>]*>", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 class Node:
-    """An open element: its name, path, whether it is furniture, main or a link, and the marks that names put on it."""
+    """An open element: its name and class, the element around it, and what its names say."""
 
-    __slots__ = ("tag", "path", "out", "main", "link", "inline", "marks")
+    __slots__ = ("tag", "kind", "up", "link", "furniture", "main", "key", "out", "within")
 
-    def __init__(self, tag: str, path: str, out: bool, main: bool, link: bool, inline: bool, marks: frozenset[tuple[bool, str]] = frozenset()):
-        self.tag, self.path, self.out, self.main, self.link, self.inline, self.marks = tag, path, out, main, link, inline, marks
+    def __init__(self, tag: str, kind: str, up: Node | None, furniture: bool, main: bool):
+        self.tag, self.kind, self.up, self.furniture, self.main = tag, kind, up, furniture, main
+        self.link: bool = tag == "a" or up is not None and up.link
+        self.out: bool = furniture or up is not None and up.out  # in furniture
+        self.within: bool = main or up is not None and up.within  # in what is named as main
+        self.key = ""  # the path, set when the group's classes are known
 
 
-def _named(attributes: str) -> tuple[set[str], str]:
-    """Words of class, id, role and itemprop, and the class for the path."""
-    words: set[str] = set()
+def _names(attributes: str) -> tuple[bool, bool, bool, str]:
+    """Whether the names say furniture, main, hidden; and the class for the path."""
+    out = main = hidden = False
     kind = ""
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("hidden",) or name == "aria-hidden" and value == "true":
-            words.add("hidden")
-            continue
-        for part in value.split():
-            words.update(x for x in _CAMEL.split(part) if x)
-            words.add(_CAMEL.sub("", part))
-        if name == "class":
-            kind = "." + ".".join(value.split()[:2])
-    return words, kind
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            hidden = True
+        elif name in ("class", "id", "role", "itemprop"):
+            for word in value.split():
+                split = [x for x in _PARTS.split(word) if x and not x.isdigit()]
+                main |= "".join(split) in MAIN_NAMES
+                out |= bool(NAMES.intersection(split)) and all(x in NAMES or x in GENERIC for x in split)
+            if name == "class":
+                kind = ".".join(_DIGITS.sub("0", value).split()[:2])
+    return out, main, hidden, kind
 
 
 class Page:
-    """Tokens of a page: (key, path) of tags and words in order, and its text nodes."""
+    """Tags and texts of a page in order: (node, None) where a tag opens or closes, (node, text) with the text's block."""
 
     def __init__(self, source: str | None):
-        self.tokens: list[str] = []  # keys of tags and words
-        self.nodes: list[tuple[int, str, Node, int]] = []  # (place among tokens, text, where it stands, block)
-        self.main: dict[int, str] = {}  # tokens of blocks in main containers
-        self.marks: dict[int, frozenset[tuple[bool, str]]] = {}  # marks on those blocks
-        self.has_main = False  # set once marks are judged
-        self.mains: set[frozenset[tuple[bool, str]]] = set()  # marks on main containers
-        self._open: list[str] = []  # texts of the block that is being read, in a main container
-        self._at = ""
-        self._marks: frozenset[tuple[bool, str]] = frozenset()
+        self.steps: list[tuple[str, Node, str, int]] = []  # (tag token or "", node, text, block)
+        self.nodes: list[Node] = []
         source = source or ""
-        stack = [Node("", "", False, False, False, False)]
+        root = Node("", "", None, False, False)
+        stack = [root]
+        self.nodes.append(root)
         at, block, end = 0, 0, len(source)
+        last = source.rfind(">")  # no tag begins after it
         while at < end:
-            m = _MARKUP.search(source, at)
+            m = _MARKUP.search(source, at) if at <= last else None
             if (stop := m.start() if m else end) > at:
-                self._text(source[at:stop], stack[-1], block)
+                self.steps.append(("", stack[-1], entities.unescape(source[at:stop]), block))
             if not m:
                 break
             at = m.end()
             tag = m[2]
             if not tag:
                 continue
-            tag = tag.lower()
-            if tag not in INLINE and (m[1] or tag not in RAW or m[3].endswith("/")):
-                self._close(block)
+            tag, closed = tag.lower(), m[3].endswith("/")
             if m[1]:
                 if any(n.tag == tag for n in stack):
                     while stack.pop().tag != tag:
                         pass
-                    stack = stack or [Node("", "", False, False, False, False)]
-                self.tokens.append(f"/{tag}|{stack[-1].path}")
+                    stack = stack or [root]
+                self.steps.append((f"/{tag}", stack[-1], "", block))
             else:
-                if tag in RAW and not m[3].endswith("/"):
+                if tag in RAW and not (closed and tag in FOREIGN):
                     close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                     at = close.end() if close else end
                     continue
-                for closes in (stack[-1].tag,) if tag not in INLINE else ():
-                    if tag in ENDS.get(closes, ()):
-                        stack.pop()
                 if tag not in INLINE:
-                    # a paragraph or item that inline elements left open ends as well
-                    open_ = next((i for i in range(len(stack) - 1, 0, -1) if not stack[i].inline), 0)
+                    # a paragraph or item that this element ends, with what inline elements left open
+                    open_ = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag not in INLINE), 0)
                     if tag in ENDS.get(stack[open_].tag, ()):
                         del stack[open_:]
                 top = stack[-1]
-                words, kind = _named(m[3]) if m[3].strip() else (set(), "")
-                main = top.main or tag in MAIN or bool(words & MAIN_NAMES)
-                out = top.out or tag in FURNITURE or "hidden" in words or tag == "header" and not top.main
-                path = top.path if tag in INLINE else f"{top.path}>{tag}{kind}"
-                self.tokens.append(f"{tag}|{path}")
-                marks = top.marks
-                if found := words & NAMES:  # (in a main container, what is marked)
-                    marks |= {(main, f"{top.path}>{tag}{kind}#{' '.join(sorted(found))}")}
-                if main and not out:
-                    self.mains.add(marks)
-                if tag not in VOID and not m[3].endswith("/"):
-                    stack.append(Node(tag, path, out, main, top.link or tag == "a", tag in INLINE, marks))
+                out, main, hidden, kind = _names(m[3]) if m[3].strip() else (False, False, False, "")
+                container = tag not in INLINE and tag not in TEXTUAL
+                furniture = hidden or tag in FURNITURE or container and out or tag == "header" and not top.within
+                node = Node(tag, kind, top, furniture, container and (tag in MAIN or main))
+                self.nodes.append(node)
+                self.steps.append((tag, node, "", block))
+                if tag not in VOID and not closed:
+                    stack.append(node)
                 elif tag == "br":
-                    self._text(" ", stack[-1], block)
+                    self.steps.append(("", top, " ", block))
             if tag not in INLINE:
                 block += 1
-        self._close(block)
-
-    def _text(self, raw: str, where: Node, block: int) -> None:
-        text = entities.unescape(raw)
-        self.nodes.append((len(self.tokens), text, where, block))
-        if where.out or not where.main or self._open and where.marks != self._marks:
-            self.tokens += [f"'{w}|{where.path}" for w in text.split()]
-        elif text.strip():
-            # classes of containers can hold an article's number, so the element's name is all of the path
-            self._at = self._at if self._open else where.path.rpartition(">")[2].partition(".")[0]
-            self._marks = where.marks
-            self._open.append(text)
-        elif self._open:
-            self._open.append(text)
-
-    def _close(self, block: int) -> None:
-        """The block's text as one token: a word alone says little amid the words of an article."""
-        if self._open:
-            self.main[block] = f"'{' '.join(''.join(self._open).split())}|{self._at}"
-            self.marks[block] = self._marks
-            self.tokens.append(self.main[block])
-            self._open.clear()
+
+    def place(self, usual: set[tuple[str, str]]) -> None:
+        """Give every element its path, with the classes that are usual."""
+        for n in self.nodes:
+            if n.up is None or n.tag in INLINE:
+                n.key = n.up.key if n.up else ""
+            else:
+                n.key = f"{n.up.key}>{n.tag}.{n.kind}" if n.kind and (n.tag, n.kind) in usual else f"{n.up.key}>{n.tag}"
+
+    def tokens(self, words: bool) -> list[list[str]]:
+        """The keys of each step: of its tag, or with ``words`` of its words."""
+        return [[f"{tag}|{node.key}"] if tag else [f"'{w}|{node.key}" for w in text.split()] if words else [] for tag, node, text, _ in self.steps]
 
 
 class Template:
     """Root tokens, repeated parts and slots that a group of pages shares."""
 
-    def __init__(self, pages: list[Page]):
-        counts = [Counter(p.tokens) for p in pages]
+    def __init__(self, pages: list[Page], words: bool = True):
+        self.words = words and len(pages) > 1
+        self.steps = [p.tokens(self.words) for p in pages]
+        self.tokens = [list(chain.from_iterable(x)) for x in self.steps]
+        counts = [Counter(t) for t in self.tokens]
         common = set(counts[0]).intersection(*counts[1:])
-        self.common = common
         classes: dict[tuple[int, ...], list[str]] = defaultdict(list)
         for t in common:
             classes[tuple(c[t] for c in counts)].append(t)
-        once = (1,) * len(pages)
-        root = set(classes.pop(once, ()))
-        orders = [[t for t in p.tokens if t in root] for p in pages]
+        root = set(classes.pop((1,) * len(pages), ()))
+        orders = [[t for t in ts if t in root] for ts in self.tokens]
         rank = {t: i for i, t in enumerate(orders[0])}
         for order in orders[1:]:  # keep the longest run of tokens that ascends in every page
             root = set(_ascending([t for t in order if t in root], rank))
         self.root = [t for t in orders[0] if t in root]
         self.number = {t: i + 1 for i, t in enumerate(self.root)}
-        self.places = []  # of each page: where its root tokens stand
-        for p in pages:
-            self.places.append([i for i, t in enumerate(p.tokens) if t in root])
-        self.repeated = self._nested(pages, classes)
+        self.repeated = self._nested(classes)
 
-    def _nested(self, pages: list[Page], classes: dict[tuple[int, ...], list[str]]) -> set[int]:
+    def _nested(self, classes: dict[tuple[int, ...], list[str]]) -> set[int]:
         """Slots that hold a valid repeated class: all its occurrences, in one alternating order."""
         found: set[int] = set()
         own = {t: v for v, ts in classes.items() if len(ts) > 1 for t in ts}
         seen: dict[str, set[int]] = defaultdict(set)
         runs: dict[tuple[int, ...], list[list[str]]] = defaultdict(list)
-        for p in pages:
+        for tokens in self.tokens:
             slot, run = 0, defaultdict(list)
-            for t in p.tokens:
+            for t in tokens:
                 slot = self.number.get(t, slot)
                 if (v := own.get(t)) is not None:
                     seen[t].add(slot)
@@ -226,13 +220,23 @@ class Template:
                 found |= slots
         return found
 
-    def slots(self, page: int, nodes: list[tuple[int, str, Node, int]]) -> Iterator[int]:
-        """The slot of each text node."""
-        places, k = self.places[page], 0
-        for at, *_ in nodes:
-            while k < len(places) and places[k] < at:
-                k += 1
-            yield k
+    def placed(self, page: int, steps: list[tuple[str, Node, str, int]]) -> list[tuple[Node, str, int, Counter[int]]]:
+        """(element, text, block, characters of words in each slot) of a page's texts; root words are in no slot."""
+        out, slot, number = [], 0, self.number
+        for (tag, node, text, block), keys in zip(steps, self.steps[page]):
+            if tag:
+                slot = number.get(keys[0], slot)
+            elif self.words:
+                own: Counter[int] = Counter()
+                for k in keys:
+                    if k in number:
+                        slot = number[k]
+                    else:
+                        own[slot] += len(k) - len(node.key) - 2
+                out.append((node, text, block, own))
+            else:
+                out.append((node, text, block, Counter({slot: n}) if (n := sum(map(len, text.split()))) else Counter()))
+        return out
 
 
 def _ascending(order: list[str], rank: dict[str, int]) -> list[str]:
@@ -257,80 +261,136 @@ def _ascending(order: list[str], rank: dict[str, int]) -> list[str]:
     return out[::-1]
 
 
-def furniture(pages: list[Page]) -> set[tuple[bool, str]]:
-    """Marks of names that hold less than half of the unlinked text of the pages that have them."""
-    held, total = Counter(), Counter()
-    for p in pages:
-        own, size = Counter(), [0, 0]  # of the page, of its main containers
-        for _, text, where, _ in p.nodes:
-            if where.out:
+class Slot:
+    """Characters that a slot holds over all pages, and how many of them are linked."""
+
+    __slots__ = ("mass", "linked")
+
+    def __init__(self) -> None:
+        self.mass, self.linked = 0, 0
+
+
+def _holder(node: Node) -> Node:
+    """The container of an element's text: what stands around its paragraph."""
+    while node.tag in INLINE and node.up is not None:
+        node = node.up
+    return node.up if node.up is not None else node
+
+
+def _above(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.up
+
+
+def _weight(node: Node) -> float:
+    return (FOR if node.within else 1.0) * (AGAINST if node.out else 1.0)
+
+
+def _copies(template: Template, pages: list[Page]) -> bool:
+    """Whether the pages share more of their unlinked text than their different rests hold."""
+    rests: dict[str, int] = {}
+    shared = 0
+    for i, p in enumerate(pages):
+        rest: list[str] = []
+        same = 0
+        for node, text, _, own in template.placed(i, p.steps):
+            if node.link or node.out:
                 continue
-            n = 0 if where.link else len(text.strip())
-            size[0] += n
-            size[1] += n * where.main
-            for mark in where.marks:
-                own[mark] += n
-        for mark, n in own.items():
-            held[mark] += n
-            total[mark] += size[mark[0]]
-    return {m for m in held if 2 * held[m] < total[m]}
-
-
-def shared(pages: list[Page]) -> set[str]:
-    """Tokens of blocks that all of these pages have in a main container, if the pages differ otherwise."""
-    if len(pages) < 2:
-        return set()
-    held = [list(p.main.values()) for p in pages]
-    common = Template(pages).common.intersection(held[0])
-    rests = {tuple(t for t in ts if t not in common) for ts in held}
-    size = lambda ts: sum(len(t.rpartition("|")[0]) - 1 for t in ts)
-    return common if len(rests) > 1 and sum(map(size, rests)) > size(common) else set()
-
-
-def _text(kept: Iterator[tuple[str, int]]) -> str:
-    """Text nodes (text, block) as paragraphs."""
-    blocks: dict[int, list[str]] = defaultdict(list)
-    for text, block in kept:
-        blocks[block].append(text)
-    texts = (" ".join("".join(x).split()) for x in blocks.values())
-    return "\n\n".join(x for x in texts if x)
-
-
-def _unnamed(pages: list[Page]) -> Iterator[str]:
-    """Texts of pages without a main container: what the container with most unlinked text over all of them holds."""
+            n = sum(own.values())
+            same += sum(map(len, text.split())) - n
+            if n:
+                rest.append(text)
+        rests["".join(rest)] = sum(map(len, rest))
+        shared = max(shared, same)
+    return len(rests) == 1 or sum(rests.values()) <= shared
+
+
+def _judged(pages: list[Page]) -> Iterator[tuple[int, str]]:
+    """(number, text) of the pages that hold the container which these pages' slots point at."""
+    seen: Counter[tuple[str, str]] = Counter()
+    for p in pages:
+        seen.update({(n.tag, n.kind) for n in p.nodes if n.kind})
+    usual = {k for k, n in seen.items() if n >= min(2, len(pages)) and USUAL * n >= len(pages)}
+    for p in pages:
+        p.place(usual)
     template = Template(pages)
-    placed = [list(zip(template.slots(k, p.nodes), p.nodes)) for k, p in enumerate(pages)]
-    linked, mass, amount = Counter(), Counter(), Counter()
-    for slot, (_, text, where, _) in chain.from_iterable(placed):
-        n = len(text.strip())
-        mass[slot] += n
-        linked[slot] += n * where.link
-    menus = {s for s in template.repeated if linked[s] > LINKED * mass[s]}
-    for slot, (_, text, where, _) in chain.from_iterable(placed):
-        if not where.link and slot not in menus:
-            amount[where.path.rpartition(">")[0]] += len(text.strip())
-    home = max(amount, key=lambda x: (amount[x], x)) if amount else ""
-    for nodes in placed:
-        yield _text((text, block) for slot, (_, text, where, block) in nodes if slot not in menus and f"{where.path}>".startswith(f"{home}>"))
+    if template.words and _copies(template, pages):
+        template = Template(pages, words=False)
+    placed = [template.placed(i, p.steps) for i, p in enumerate(pages)]
+
+    slots: dict[int, Slot] = defaultdict(Slot)
+    for texts in placed:
+        for node, _, _, own in texts:
+            for k, n in own.items():
+                slots[k].mass += n
+                slots[k].linked += n * node.link
+    menus = {k for k in template.repeated if slots[k].linked > LINKED * slots[k].mass}
+    amount: Counter[str] = Counter()
+    holder: dict[str, Node] = {}
+    for texts in placed:
+        for node, _, _, own in texts:
+            n = sum(x for k, x in own.items() if k not in menus)
+            if n and not node.link and node.up is not None:
+                h = _holder(node)
+                holder.setdefault(h.key, h)
+                amount[h.key] += n * _weight(h)
+    if not amount:  # nothing but template or links
+        yield from ((i, "") for i in range(len(pages)))
+        return
+    heaviest = max(amount, key=lambda k: (amount[k], k))
+    spared = {n.key for n in _above(holder[heaviest])}
+    home = next((n for n in _above(holder[heaviest]) if n.main), holder[heaviest])
+    within = f"{home.key}>"
+
+    def wanted(node: Node) -> bool:
+        if not f"{_block(node).key}>".startswith(within):
+            return False
+        return not node.out or not any(n.furniture and n.key not in spared for n in _above(node))
+
+    out: dict[int, dict[int, str]] = {}
+    for i, (p, texts) in enumerate(zip(pages, placed)):
+        if not any(n.key == home.key for n in p.nodes):
+            continue
+        blocks: dict[int, list[str]] = defaultdict(list)
+        own: set[int] = set()  # blocks with words of a slot
+        begun = False
+        for node, text, block, words in texts:
+            begun |= f"{node.key}>".startswith(within)
+            title = not home.main and not begun and _block(node).tag == "h1" and home.key.startswith(_block(node).up.key) and not any(n.furniture and n.key not in spared for n in _above(node))
+            if title or wanted(node):
+                blocks[block].append(text)
+                if any(k not in menus for k in words):
+                    own.add(block)
+        out[i] = {b: x for b, x in ((b, " ".join("".join(t).split())) for b, t in blocks.items() if b in own) if x}
+    held = [set(x.values()) for x in out.values() if x]
+    every = set.intersection(*held) if template.words and len(held) > 1 else set()
+    if sum(map(len, {"".join(sorted(x - every)) for x in held})) <= sum(map(len, every)):
+        every = set()  # copies of one article
+    for i, blocks in out.items():
+        yield i, "\n\n".join(x for x in blocks.values() if x not in every)
+
+
+def _block(node: Node) -> Node:
+    while node.tag in INLINE and node.up is not None:
+        node = node.up
+    return node
 
 
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of a group that shares a host."""
     pages = [Page(s) for s in sources]
-    marks = furniture(pages)
-    for p in pages:
-        p.main = {b: t for b, t in p.main.items() if marks.isdisjoint(p.marks[b])}
-        p.nodes = [(at, text, where, block) for at, text, where, block in p.nodes if not where.out and marks.isdisjoint(where.marks)]
-        p.has_main = any(marks.isdisjoint(m) for m in p.mains)
-    template = shared([p for p in pages if p.main])
-    rest = [p for p in pages if p.nodes and not p.has_main]
-    unnamed = _unnamed(rest) if rest else iter(())
-    out = []
-    for p in pages:
-        if p.has_main:
-            out.append(_text((text, block) for _, text, where, block in p.nodes if where.main and p.main.get(block) not in template))
-        else:
-            out.append(next(unnamed) if p.nodes else "")
+    out = [""] * len(pages)
+    some = [i for i, p in enumerate(pages) if any(text.strip() for tag, _, text, _ in p.steps if not tag)]
+    named = {i for i in some if any(n.main and not n.out for n in pages[i].nodes)}
+    # a main container without text is an empty article
+    filled = [i for i in some if i in named and any(node.within and text.strip() for tag, node, text, _ in pages[i].steps if not tag)]
+    for left in (filled, [i for i in some if i not in named]):
+        while left:
+            found = dict(_judged([pages[i] for i in left]))
+            for k, text in found.items():
+                out[left[k]] = text
+            left = [i for k, i in enumerate(left) if k not in found]
     return out
 
 
@@ -346,7 +406,7 @@ def extract(pages: DataFrame, ident: str = "page_id", url: str = "url", html: st
     crowded = base.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.lit(max(share, group))).select("host", F.ceil(F.col("n") / F.lit(max(share, group))).alias("deals"))
     rows = base.join(F.broadcast(crowded), "host", "left")
     rows = rows.withColumn("deal", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("deals", F.lit(1).cast("long"))))
-    rows = rows.select("page_id", "url", "html", "host", "deal").repartition(parts(spark), "host", "deal").sortWithinPartitions("host", "deal", "page_id")
+    rows = rows.select("page_id", "url", "html", "host", "deal").repartition(parts(spark), "host", "deal").sortWithinPartitions("host", "deal", "page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, str, str | None]] = []

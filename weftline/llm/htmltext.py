@@ -196,6 +196,7 @@ class Template:
             root = set(_ascending([t for t in order if t in root], rank))
         self.root = [t for t in orders[0] if t in root]
         self.number = {t: i + 1 for i, t in enumerate(self.root)}
+        self.set = frozenset(self.root)
         self.repeated = self._nested(classes)
 
     def _nested(self, classes: dict[tuple[int, ...], list[str]]) -> set[int]:
@@ -226,7 +227,7 @@ class Template:
         for (tag, node, text, block), keys in zip(steps, self.steps[page]):
             if tag:
                 slot = number.get(keys[0], slot)
-            elif self.words:
+            elif self.words and not self.set.isdisjoint(keys):
                 own: Counter[int] = Counter()
                 for k in keys:
                     if k in number:
@@ -287,14 +288,14 @@ def _weight(node: Node) -> float:
     return (FOR if node.within else 1.0) * (AGAINST if node.out else 1.0)
 
 
-def _copies(template: Template, pages: list[Page]) -> bool:
+def _copies(placed: list[list[tuple[Node, str, int, Counter[int]]]]) -> bool:
     """Whether the pages share more of their unlinked text than their different rests hold."""
     rests: dict[str, int] = {}
     shared = 0
-    for i, p in enumerate(pages):
+    for texts in placed:
         rest: list[str] = []
         same = 0
-        for node, text, _, own in template.placed(i, p.steps):
+        for node, text, _, own in texts:
             if node.link or node.out:
                 continue
             n = sum(own.values())
@@ -315,9 +316,10 @@ def _judged(pages: list[Page]) -> Iterator[tuple[int, str]]:
     for p in pages:
         p.place(usual)
     template = Template(pages)
-    if template.words and _copies(template, pages):
-        template = Template(pages, words=False)
     placed = [template.placed(i, p.steps) for i, p in enumerate(pages)]
+    if template.words and _copies(placed):
+        template = Template(pages, words=False)
+        placed = [template.placed(i, p.steps) for i, p in enumerate(pages)]
 
     slots: dict[int, Slot] = defaultdict(Slot)
     for texts in placed:

@@ -18,7 +18,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, con, name):
-    compare(spark, con, name, queries.QUERIES[name], queries.ORACLES[name], SF)
+    assert compare(spark, con, name, queries.QUERIES[name], queries.ORACLES[name], SF) > 0
 
 
 def test_queries_without_sql(spark):

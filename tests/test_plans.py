@@ -107,11 +107,11 @@ def test_check_of_a_document(spark, graph):
     values = profile.live_values(graph[0], graph[2])
     assert values["moment"] == "ATLAUNCH" and values["short"] == "R-1"
     results = profile.check(spark, doc, values)
-    assert [(r["parses"], r["runs"], r["rows"] > 0) for r in results] == [(True, True, True), (False, False, False), (False, False, False), (True, True, False)]
+    assert [t.outcome for t in results] == ["answers", "forbidden", "unreadable", "empty"]
     assert profile.invented(spark, doc, "kg") == ["kg_Nothing", "kg_x"]
-    assert profile.report(results).startswith("4 queries, 2 run") and len(profile.complaints(results, ["kg_x"])) == 4
+    assert profile.report(results).startswith("4 tried; 1 answers; 1 empty") and len(profile.complaints(results, ["kg_x"])) == 4
     fixed, again = profile.primer(spark, lambda s, todo: "```sql\nselect 1\n```" if todo else doc, "survey", values, "kg")
-    assert again[0]["rows"] == 1
+    assert again[0].size == 1
 
 
 def test_walks(spark):

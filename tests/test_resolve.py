@@ -71,7 +71,7 @@ def test_reconcile(spark):
     ents, rels = reconcile.apply(elements, relations, numbers, spark.createDataFrame(old, schema), spark.createDataFrame(edges, "src string, dst string, type string, relationship_type string, description string, stated boolean, source_file string, source_line int"))
     rows = {r.entity_name: r for r in ents.collect()}
     assert "REQ-1" not in rows and rows["LONGFLIGHT"].short_name == "REQ-1" and rows["LONGFLIGHT"].source_line == 6
-    assert rows["LONGFLIGHT"].description == "flies long Also written REQ-1."
+    assert rows["LONGFLIGHT"].description == "flies long [REQ-1]"
     assert rows["KIT_ARCHITECTURE::KITE"].attributes["totalMass"].value == 750
     assert rows["KITE_BATTERY"].attributes["capacity"].value == 6000 and rows["KITE_BATTERY"].stated
     assert rows["PROSE"].source_file is None and rows["MINE"].source_line == 10

@@ -68,35 +68,37 @@ def entity_key(name: Column, number: Column) -> Column:
 
 
 def slug_key(text: Column) -> Column:
-    """A readable key: the slug, and a digest that keeps cut or equal slugs apart."""
+    """A readable key: the slug, and a digest that keeps cut or equal slugs apart.
+
+    Fixed values: the characters kept, 180 of them, and the first ten digits of SHA-1.
+    """
     slug = F.substring(F.regexp_replace(text, "[^A-Za-z0-9_-]+", "_"), 1, 180)
     return F.concat(F.regexp_replace(slug, "^_+|_+$", ""), F.lit("_"), F.substring(F.sha1(text), 1, 10))
 
 
-_NUMBER = r"^(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)\s*(?:\[\s*([^\]]+?)\s*\])?$"
+#: Fixed value: how the notation writes a number.
+NUMBER = r"-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
 
 
-def unquoted(token: Column) -> Column:
-    quoted = (F.length(token) > 1) & F.substring(token, 1, 1).isin("'", '"') & (F.substring(token, 1, 1) == F.substring(token, -1, 1))
-    return F.when(quoted, token.substr(F.lit(2), F.length(token) - 2)).otherwise(token)
+def _bare(token: Column) -> Column:
+    """A token without the quotation marks around it, if it has any."""
+    mark = F.left(token, F.lit(1))
+    return F.when((F.length(token) > 1) & mark.isin("'", '"') & (F.right(token, F.lit(1)) == mark), F.substr(token, F.lit(2), F.length(token) - 2)).otherwise(token)
 
 
 def quantity(raw: Column) -> Column:
     """``struct<value, text, unit, expression>`` of a written value; null if nothing is written."""
-    raw = F.trim(F.rtrim(F.trim(raw), F.lit("; ")))
-    number = F.regexp_extract(raw, _NUMBER, 1).try_cast("double")
-    unit = F.trim(F.element_at(F.split(F.regexp_extract(raw, _NUMBER, 2), "::"), -1))
-    unit = F.nullif(unquoted(unit), F.lit(""))
-    is_number, is_text = raw.rlike(_NUMBER), F.substring(raw, 1, 1).isin("'", '"')
-    return F.when(
-        F.length(raw) > 0,
-        F.struct(
-            F.when(is_number, number).alias("value"),
-            F.when(~is_number & is_text, unquoted(raw)).alias("text"),
-            F.when(is_number, unit).alias("unit"),
-            F.when(~is_number & ~is_text, raw).alias("expression"),
-        ),
-    )
+    written = F.trim(F.rtrim(F.trim(raw), F.lit("; ")))
+    at = F.locate("[", written)
+    number = F.when(at > 0, F.rtrim(F.left(written, at - 1))).otherwise(written)
+    behind = F.when(at > 0, F.substr(written, at + 1))
+    inside = F.substring_index(behind, "]", 1)
+    whole = (at == 0) | (F.length(inside) > 0) & (behind == F.concat(inside, F.lit("]")))
+    is_number = whole & number.rlike(f"^{NUMBER}$")
+    is_text = ~is_number & F.left(written, F.lit(1)).isin("'", '"')
+    unit = F.nullif(_bare(F.trim(F.element_at(F.split(inside, "::"), -1))), F.lit(""))
+    says = {"value": F.when(is_number, number.try_cast("double")), "text": F.when(is_text, _bare(written)), "unit": F.when(is_number, unit), "expression": F.when(~is_number & ~is_text, written)}
+    return F.when(F.length(written) > 0, F.struct(*[c.alias(k) for k, c in says.items()]))
 
 
 def dot(a: Column, b: Column) -> Column:

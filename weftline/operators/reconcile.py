@@ -44,14 +44,15 @@ def supersede(edges: DataFrame) -> DataFrame:
 
 
 def described(element: str = "name") -> F.Column:
-    typed = F.when(F.length(F.coalesce("typed", F.lit(""))) > 0, F.concat(F.lit(", typed by "), "typed")).otherwise(F.lit(""))
-    return F.concat(element, F.lit(" is a "), "kind", F.lit(" declared in "), "qualified", typed, F.lit(", at "), "file", F.lit(":"), F.col("line").cast("string"), F.lit("."))
+    """What a declaration is, in one line: kind, name, its type and where it stands."""
+    typed = F.when(F.length(F.coalesce("typed", F.lit(""))) > 0, F.concat(F.lit(" : "), "typed"))
+    return F.concat_ws("", F.initcap("kind"), F.lit(" "), element, typed, F.lit(" ("), "qualified", F.lit("; "), "file", F.lit(" line "), F.col("line").cast("string"), F.lit(")"))
 
 
 def searchable(entities: DataFrame) -> DataFrame:
     """The short name is added to the description, once."""
     missing = F.col("short_name").isNotNull() & ~F.coalesce(F.col("description").contains(F.col("short_name")), F.lit(False))
-    return entities.withColumn("description", F.when(missing, F.concat(F.coalesce("description", F.lit("")), F.lit(" Also written "), "short_name", F.lit("."))).otherwise(F.col("description")))
+    return entities.withColumn("description", F.when(missing, F.concat_ws(" ", "description", F.concat(F.lit("["), "short_name", F.lit("]")))).otherwise(F.col("description")))
 
 
 def stated_edges(relations: DataFrame, elements: DataFrame) -> DataFrame:

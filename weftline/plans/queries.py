@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.expressions import alias_key, attribute, cosine, declared, ends_as, exact_total, has_attributes, is_stated, location, quantity
+from weftline.functions.expressions import alias_key, attribute, cosine, declared, ends_as, exact_total, has_attributes, is_stated, location, model_of, quantity
 from weftline.operators import communities, naming, reconcile, resolve, similarity, text, traverse, vector
-from weftline.sources import utilities
+from weftline.plans import profile
+from weftline.sources import reader, utilities
 from weftline.sources.tables import GRAPH_SQL, entities, relations, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,20 +116,37 @@ def simple_paths(spark, sf_dir):
 
 
 @query("""
+WITH w AS (SELECT id AS s, id AS v, 0 AS d FROM entities WHERE entity_type = 'nation' AND contains(entity_name, replace(upper('nation _1'), ' ', ''))
+  UNION SELECT w.s, r.dst, w.d + 1 FROM w JOIN relations r ON r.src = w.v AND r.relationship_type IN ('owns', 'redefines', 'typedby') WHERE w.d < 5)
 SELECT o.entity_name AS occurrence, a.id AS element, a.name AS attribute, round(a.value, 4) AS value
-FROM entities o JOIN relations r ON r.src = o.id AND r.relationship_type IN ('owns', 'redefines', 'typedby') JOIN attrs a ON a.id = r.dst
-WHERE o.entity_type = 'nation' AND contains(o.entity_name, replace(upper('united'), ' ', '')) AND a.value IS NOT NULL
+FROM (SELECT DISTINCT s, v FROM w WHERE d > 0) JOIN entities o ON o.id = s JOIN attrs a ON a.id = v WHERE a.value IS NOT NULL
 """)
 def occurrence_values(spark, sf_dir):
-    """Values of what stands right below an occurrence that a phrase names."""
+    """Values of what stands one to five steps below an occurrence that a phrase names."""
     e = entities(spark, sf_dir)
-    starts = e.where("entity_type = 'nation'").where(F.col("entity_name").contains(F.replace(F.upper(F.lit("united")), F.lit(" "), F.lit("")))).select("id", "entity_name")
-    below = traverse.reach(starts, relations(spark, sf_dir), 1, 1, where=F.col("relationship_type").isin("owns", "redefines", "typedby"))
+    starts = e.where("entity_type = 'nation'").where(F.col("entity_name").contains(F.replace(F.upper(F.lit("nation _1")), F.lit(" "), F.lit("")))).select("id", "entity_name")
+    below = traverse.reach(starts, relations(spark, sf_dir), 1, 5, where=F.col("relationship_type").isin("owns", "redefines", "typedby"))
     values = e.where(has_attributes()).select(F.col("id").alias("vertex"), F.explode("attributes").alias("attribute", "a"))
     found = below.join(values, "vertex").join(starts, F.col("start") == F.col("id")).where("a.value is not null")
     return found.select(F.col("entity_name").alias("occurrence"), F.col("vertex").alias("element"), "attribute", F.round("a.value", 4).alias("value"))
 
 
+@query("""
+WITH s AS (SELECT src AS s, dst AS v FROM relations WHERE relationship_type = 'satisfies' AND stated),
+w AS (SELECT s, v FROM s UNION SELECT s, dst FROM s JOIN relations ON src = v AND relationship_type = 'typedby')
+SELECT e.entity_name AS supplier, count(*) FILTER (v LIKE 'brand/%') AS types, count(*) FILTER (a.value IS NOT NULL) AS parts, CAST(coalesce(sum(CAST(a.value AS DECIMAL(18,2))), 0) AS DOUBLE) AS total
+FROM w JOIN entities e ON e.id = s LEFT JOIN attrs a ON a.id = v AND a.name = 'retailPrice' GROUP BY e.id, e.entity_name
+""")
+def rollup_with_types(spark, sf_dir):
+    """What stands below each supplier, the types of parts included: their number and the sum of one attribute."""
+    e, r = entities(spark, sf_dir), relations(spark, sf_dir)
+    starts = e.where("entity_type = 'supplier'").select("id", "entity_name")
+    below = traverse.reach(starts, r, 1, 2, where=(F.col("relationship_type") == "typedby") | (F.col("relationship_type") == "satisfies") & is_stated())
+    values = e.where("entity_type = 'part'").select(F.col("id").alias("vertex"), attribute("retailPrice").alias("value"))
+    found = below.join(starts, F.col("start") == F.col("id")).join(values, "vertex", "left")
+    return found.groupBy("id", F.col("entity_name").alias("supplier")).agg(F.count_if(F.col("vertex").startswith("brand/")).alias("types"), F.count("value").alias("parts"), exact_total(F.col("value")).alias("total")).drop("id")
+
+
 @query("""
 SELECT id, degree, dense_rank() OVER (ORDER BY degree DESC, id) AS place FROM
   (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM relations UNION ALL SELECT dst FROM relations) GROUP BY id) QUALIFY place <= 8
@@ -312,12 +330,12 @@ def parse_quantity(spark, sf_dir):
 # --- names ---
 
 
-@query("SELECT id, entity_name AS name, short_name AS short, CASE WHEN short_name = 'ID-77' THEN 'declared with this identifier' ELSE 'named by this identifier' END AS role FROM entities WHERE short_name = 'ID-77' OR entity_name = 'ID-77'")
+@query("SELECT id, entity_name AS name, short_name AS short, CASE WHEN short_name = 'ID-77' THEN 'its short name' ELSE 'its name' END AS role FROM entities WHERE short_name = 'ID-77' OR entity_name = 'ID-77'")
 def identifier_two_fields(spark, sf_dir):
     """An identifier may be one row's short name and another's name; both are found."""
     wanted = F.upper(F.lit("id-77"))
     rows = entities(spark, sf_dir).where((F.col("short_name") == wanted) | (F.col("entity_name") == wanted))
-    role = F.when(F.col("short_name") == wanted, "declared with this identifier").otherwise("named by this identifier")
+    role = F.when(F.col("short_name") == wanted, "its short name").otherwise("its name")
     return rows.select("id", F.col("entity_name").alias("name"), F.col("short_name").alias("short"), role.alias("role"))
 
 
@@ -762,3 +780,140 @@ def stated_and_inferred(spark, sf_dir):
     r = relations(spark, sf_dir).groupBy(F.when(is_stated(), "stated").otherwise("inferred").alias("part")).agg(counted("n"))
     v = entities(spark, sf_dir).where(attribute("acctbal").isNotNull()).agg(F.lit("valued").alias("part"), counted("n"))
     return r.unionByName(v.where("n > 0"))
+
+
+# --- models read from text ---
+
+
+def _model_files(spark, sf_dir) -> DataFrame:
+    """One model file per supplier, as the reader takes them."""
+    key, cents = F.col("s_suppkey").cast("long"), F.round(F.col("s_acctbal") * 100).cast("long")
+    body = (
+        "package '%s' {\n  // a unit and what it must do\n  part def <'S-%d'> Unit%d :> Base {\n    attribute acctbal = %de-2 ['$'];\n    attribute twice = acctbal * 2;\n    part seat%d : Nation%d;\n  }\n"
+        "  requirement <'R-%d'> need%d;\n  part spare%d : Unit%d;\n  satisfy need%d by spare%d.seat%d;\n}\n"
+    )
+    text_ = F.format_string(body, "s_name", key, key, cents, key, F.col("s_nationkey").cast("long"), key, key, key, key, key, key, key)
+    path = F.format_string("fleet%d/unit%d.sysml", key % 3, key)
+    return table(spark, sf_dir, "supplier").select(path.alias("path"), text_.alias("text"), F.format_string("fleet%d", key % 3).alias("model"))
+
+
+_S = "SELECT s_name AS n, s_suppkey AS k, s_nationkey AS nk, CAST(round(s_acctbal * 100) AS BIGINT) / 100.0 AS bal, 'fleet' || s_suppkey % 3 AS model, 'fleet' || s_suppkey % 3 || '/unit' || s_suppkey || '.sysml' AS file FROM supplier"
+
+
+@query("SELECT DISTINCT 'fleet' || s_suppkey % 3 AS model, CAST(dense_rank() OVER (ORDER BY 'fleet' || s_suppkey % 3) - 1 AS INTEGER) AS import_number FROM supplier", graph=False)
+def read_models(spark, sf_dir):
+    """The models that files lie under, numbered."""
+    return reader.models(_model_files(spark, sf_dir))
+
+
+@query(f"WITH s AS ({_S}) SELECT 'unit' || k || '.sysml' AS file_name, 'models/' || file AS citable_url, 'sysml:' || file AS file_ids, model FROM s", graph=False)
+def read_documents(spark, sf_dir):
+    """A document for each file, with its address."""
+    return reader.documents(_model_files(spark, sf_dir)).select("file_name", "citable_url", "file_ids", F.element_at("models", 1).alias("model"))
+
+
+@query(f"""
+WITH s AS ({_S})
+SELECT n AS name, n AS qualified, 'package' AS kind, '' AS short, '' AS typed, '' AS specializes, file, 1 AS line, CAST(NULL AS DOUBLE) AS acctbal, CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS twice FROM s
+UNION ALL SELECT 'Unit' || k, n || '::Unit' || k, 'part', 'S-' || k, '', 'Base', file, 3, bal, '$', 'acctbal * 2' FROM s
+UNION ALL SELECT 'seat' || k, n || '::Unit' || k || '::seat' || k, 'part', '', 'Nation' || nk, '', file, 6, NULL, NULL, NULL FROM s
+UNION ALL SELECT 'need' || k, n || '::need' || k, 'requirement', 'R-' || k, '', '', file, 8, NULL, NULL, NULL FROM s
+UNION ALL SELECT 'spare' || k, n || '::spare' || k, 'part', '', 'Unit' || k, '', file, 9, NULL, NULL, NULL FROM s
+""", graph=False)
+def read_elements(spark, sf_dir):
+    """What model files declare: names, kinds, types, lines and written values."""
+    found = reader.read(_model_files(spark, sf_dir))[0]
+    value = [attribute("acctbal").alias("acctbal"), attribute("acctbal", "unit").alias("unit"), attribute("twice", "expression").alias("twice")]
+    return found.select("name", "qualified", "kind", "short", "typed", F.array_join("specializes", ",").alias("specializes"), "file", "line", *value)
+
+
+_READ = """SELECT n AS a, n || '::Unit' || k AS b, 'owns' AS type, file, 3 AS line, model FROM s
+UNION ALL SELECT n || '::Unit' || k, 'Base', 'specializes', file, 3, model FROM s
+UNION ALL SELECT n || '::Unit' || k, n || '::Unit' || k || '::seat' || k, 'owns', file, 6, model FROM s
+UNION ALL SELECT n || '::Unit' || k || '::seat' || k, 'Nation' || nk, 'typedby', file, 6, model FROM s
+UNION ALL SELECT n, n || '::need' || k, 'owns', file, 8, model FROM s
+UNION ALL SELECT n, n || '::spare' || k, 'owns', file, 9, model FROM s
+UNION ALL SELECT n || '::spare' || k, 'Unit' || k, 'typedby', file, 9, model FROM s
+UNION ALL SELECT 'spare' || k || '.seat' || k, 'need' || k, 'satisfies', file, 10, model FROM s"""
+
+
+@query(f"WITH s AS ({_S}) SELECT a AS \"from\", b AS \"to\", type, file, line FROM ({_READ})", graph=False)
+def read_relations(spark, sf_dir):
+    """What model files state between names, as written."""
+    return reader.read(_model_files(spark, sf_dir))[1].select("from", "to", "type", "file", "line")
+
+
+@query(f"""
+WITH s AS ({_S})
+SELECT model, a AS src, b AS dst, type, line FROM ({_READ}) WHERE type = 'owns'
+UNION ALL SELECT model, n || '::spare' || k, n || '::Unit' || k, 'typedby', 9 FROM s
+UNION ALL SELECT model, n || '::Unit' || k || '::seat' || k, n || '::need' || k, 'satisfies', 10 FROM s
+""", graph=False)
+def stated_edges_resolved(spark, sf_dir):
+    """Written relations between declarations: names by nearest scope, feature paths through types; what names nothing is dropped."""
+    elements, written = reader.read(_model_files(spark, sf_dir))
+    found = reconcile.stated_edges(written, elements.withColumn("model", model_of(F.col("file"))))
+    return found.select("model", "src", "dst", "type", "line")
+
+
+@query(f"WITH s AS ({_S}) SELECT model, n || '::spare' || k AS qualified, n || '::spare' || k || '.seat' || k AS path, n || '::Unit' || k || '::seat' || k AS hit FROM s", graph=False)
+def feature_paths(spark, sf_dir):
+    """Dotted paths followed through the type of what they start from."""
+    elements = reader.read(_model_files(spark, sf_dir))[0].withColumn("model", model_of(F.col("file")))
+    spare = elements.where(F.col("name").startswith("spare")).select("model", "qualified", F.concat("qualified", F.lit(".seat"), F.substr("name", F.lit(6))).alias("path"))
+    short = F.concat(F.element_at(F.split("qualified", "::"), -1), F.lit(".seat"), F.substr(F.element_at(F.split("qualified", "::"), -1), F.lit(6)))
+    asked = spare.select(F.col("path").alias("ref_id"), "model", short.alias("reference"), F.col("qualified").alias("source"))
+    return spare.join(resolve.follow(asked, elements).withColumnRenamed("ref_id", "path"), "path").select("model", "qualified", "path", "hit")
+
+
+@query("SELECT 'x' || p_partkey AS id, 'd' || p_partkey AS \"into\" FROM part", graph=False)
+def merge_plan(spark, sf_dir):
+    """Rows that are second names of declarations: by short name, or by short name and name."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("k"), "p_name")
+    rows = parts.select(F.concat(F.lit("x"), "k").alias("id"), F.when(F.col("k").cast("long") % 2 == 0, F.concat(F.lit("p. "), "k")).otherwise(F.concat(F.lit("p-"), "k", F.lit("_"), "p_name")).alias("name"), F.lit("supply").alias("model"))
+    declarations = parts.select(F.concat(F.lit("d"), "k").alias("id"), F.col("p_name").alias("name"), F.concat(F.lit("P-"), "k").alias("short"), F.lit("supply").alias("model"))
+    return resolve.merges(rows, declarations)
+
+
+@query(f"""
+SELECT 'edge ' || vec_id AS description, 'connects' AS relation, 'f' || vec_id % 7 || '.sysml' AS at, round({_COSINE}, 6) AS score FROM embeddings WHERE label % 2 = 0 ORDER BY {_COSINE} DESC, 'v/' || vec_id LIMIT 8
+""", graph=False)
+def relation_search(spark, sf_dir):
+    """The eight edges of one kind nearest to a vector; the kind is asked before any score."""
+    v = table(spark, sf_dir, "embeddings")
+    ident = F.concat(F.lit("v/"), F.col("vec_id").cast("string"))
+    edges = v.select(ident.alias("src"), F.lit("RELATED_TO").alias("type"), F.when(F.col("label") % 2 == 0, "connects").otherwise("owns").alias("relationship_type"), F.concat(F.lit("edge "), F.col("vec_id").cast("string")).alias("description"), "embedding")
+    ends = v.select(ident.alias("id"), F.array(F.concat(F.lit("f"), (F.col("vec_id") % 7).cast("string"), F.lit(".sysml"))).alias("files"))
+    return vector.search_relations(edges, ends, _QUERY_VECTOR, relation="connects").select("description", "relation", F.array_join("at", ",").alias("at"), F.round("score", 6).alias("score"))
+
+
+# --- probes of the graph ---
+
+
+def _probe(heading: str, *columns, sql: str):
+    """Register a probe of the survey over the tables' graph."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("file_name"), F.col("text").alias("content"))
+        groups = table(spark, sf_dir, "nation").select(F.lit(0).alias("level"), F.col("n_name").alias("_key"), F.struct(F.col("n_name").alias("title")).alias("report_json"))
+        found = profile.probes(entities(spark, sf_dir), relations(spark, sf_dir), docs, docs.select("content"), groups)[heading]()
+        return found.selectExpr(*columns) if columns else found
+
+    run.__name__ = f"probe_{heading.replace(' ', '_')}"
+    run.__doc__ = f"The survey's probe: {heading}."
+    query(sql)(run)
+
+
+_probe("models", sql="SELECT model, count(*) AS n FROM (SELECT unnest(models) AS model FROM entities) GROUP BY model")
+_probe("entity types", sql="SELECT entity_type, count(*) AS n FROM entities GROUP BY entity_type")
+_probe("filled fields", sql="SELECT count(*) FILTER (id IN (SELECT id FROM attrs)) AS with_attributes, count(short_name) AS with_short_name, count(source_file) AS declared, 0 AS read, count(*) FILTER (len(models) > 1) AS in_two_models, count(*) FILTER (len(files) > 1) AS in_two_files FROM entities")
+_probe("attributes", "attribute", "n", "array_join(units, ',') AS units", sql="SELECT name AS attribute, count(*) AS n, coalesce(string_agg(DISTINCT unit, ',' ORDER BY unit), '') AS units FROM attrs GROUP BY name ORDER BY n DESC, attribute LIMIT 30")
+_probe("formulas", sql="SELECT entity_name, name AS attribute, expression FROM attrs JOIN entities USING (id) WHERE expression IS NOT NULL ORDER BY id, name LIMIT 8")
+_probe("short names", sql="SELECT short_name, entity_name, entity_type FROM entities WHERE short_name IS NOT NULL ORDER BY short_name, entity_name LIMIT 12")
+_probe("edge kinds", sql="SELECT type, count(*) AS n FROM relations GROUP BY type")
+_probe("relations by provenance", sql="SELECT relationship_type, coalesce(stated, false) AS read, count(*) AS n FROM relations WHERE type = 'RELATED_TO' GROUP BY ALL")
+_probe("a stated edge", sql="SELECT src, dst, type, relationship_type, stated FROM relations WHERE stated AND type = 'RELATED_TO' ORDER BY src, dst LIMIT 1")
+_probe("communities", sql="SELECT 0 AS level, count(*) AS n, min(n_name) AS title FROM nation")
+_probe("collections", sql="SELECT 'entities' AS collection, count(*) AS rows, false AS edge_collection FROM entities UNION ALL SELECT 'relations', count(*), true FROM relations UNION ALL SELECT 'documents', count(*), false FROM documents UNION ALL SELECT 'chunks', count(*), false FROM documents UNION ALL SELECT 'communities', count(*), false FROM nation")
+_probe("most connected", sql="SELECT entity_name, entity_type, degree FROM (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM relations UNION ALL SELECT dst FROM relations) GROUP BY id) JOIN entities USING (id) ORDER BY degree DESC, id LIMIT 8")
+_probe("an entity", "id", "entity_name", "entity_type", "short_name", "source_file", "source_line", sql="SELECT id, entity_name, entity_type, short_name, source_file, source_line FROM entities WHERE id IN (SELECT id FROM attrs) AND short_name IS NOT NULL AND source_file IS NOT NULL ORDER BY id LIMIT 1")

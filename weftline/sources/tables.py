@@ -83,7 +83,7 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.unionByName(make(t("orders"), vertex("customer", "o_custkey"), vertex("orders", "o_orderkey"), "owns", yes))
     pairs = t("lineitem").select("l_orderkey", "l_partkey").distinct()
     out = out.unionByName(make(pairs, vertex("orders", "l_orderkey"), vertex("part", "l_partkey"), "connects", absent))
-    supplied = t("lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max(F.col("l_returnflag") != "R").alias("kept"))
+    supplied = t("lineitem").where("l_linenumber = 1 and l_quantity > 40").groupBy("l_suppkey", "l_partkey").agg(F.max(F.col("l_returnflag") != "R").alias("kept"))
     out = out.unionByName(make(supplied, vertex("supplier", "l_suppkey"), vertex("part", "l_partkey"), "satisfies", F.when(F.col("kept"), F.lit(True))))
     return out.unionByName(make(t("part"), vertex("part", "p_partkey"), F.concat(F.lit("brand/"), F.col("p_brand")), "typedby", yes))
 
@@ -135,7 +135,7 @@ RELATIONS_SQL = "\nUNION ALL ".join(
         _edge_sql("supplier", "'nation/' || s_nationkey", "'supplier/' || s_suppkey", "owns", "true"),
         _edge_sql("orders", "'customer/' || o_custkey", "'orders/' || o_orderkey", "owns", "true"),
         _edge_sql("(SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)", "'orders/' || l_orderkey", "'part/' || l_partkey", "connects", "NULL"),
-        _edge_sql("(SELECT l_suppkey, l_partkey, bool_or(l_returnflag <> 'R') AS kept FROM lineitem GROUP BY ALL)", "'supplier/' || l_suppkey", "'part/' || l_partkey", "satisfies", "CASE WHEN kept THEN true END"),
+        _edge_sql("(SELECT l_suppkey, l_partkey, bool_or(l_returnflag <> 'R') AS kept FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 40 GROUP BY ALL)", "'supplier/' || l_suppkey", "'part/' || l_partkey", "satisfies", "CASE WHEN kept THEN true END"),
         _edge_sql("part", "'part/' || p_partkey", "'brand/' || p_brand", "typedby", "true"),
     ]
 )

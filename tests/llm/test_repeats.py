@@ -80,3 +80,28 @@ def test_repeated_and_null_ids(spark):
     got = repeats.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect()), key=str) == brute(docs)
     assert repeats.without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_kinds_over_batches(size):
+    """Batches of any size give what all rows at once give."""
+    rng = random.Random(size)
+    rows = sorted((rng.randint(0, 12), rng.choice([0, 0, 1, 2]), rng.choice([1, 1, 2])) for _ in range(120))
+    cols = [np.array(x, np.int64) for x in (range(120), [r[0] for r in rows], [r[1] for r in rows], [0] * 120, range(120), range(120), [r[2] for r in rows])]
+    got = [tuple(r.values()) for b in repeats.classify(iter([repeats._items([c[i : i + size] for c in cols]) for i in range(0, 120, size)])) for r in b.to_pylist()]
+    settled, open_ = {g[0] for g in got if g[6] == 0}, sorted((g[1], g[2]) for g in got if g[6] == 1)
+    total, kinds = Counter(), {}
+    for k, v, n in rows:
+        total[k, v] += n
+        kinds.setdefault(k, set()).add(v)
+    assert settled == {i for i, (k, v, n) in enumerate(rows) if n == 1 and total[k, v] > 1}
+    assert open_ == sorted(x for x in total if len(kinds[x[0]]) > 1)
+    assert len(got) == len(settled) + len(open_)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
+    docs = [(1, long + long[100:900]), (2, "x" + long[30_000:31_000])]
+    got = repeats.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs)

@@ -16,11 +16,16 @@ Consecutive strings of one anchor form a *range* (document, first start, last st
 
 Equal ranges within a batch of documents are settled there and send one row on, so a text with
 very many copies is dealt once per batch. A key with more than HOT open ranges (the edge of a
-passage that very many documents share) is cut down to single strings, whose hash is the key.
+passage that very many documents share) is cut down to single strings, whose hash is the key, so no
+index grows with a passage's popularity; single strings need none. A task holds one row of a key.
+
+What the index settles is the edges of repeats. To feed it all repeated ranges would index a
+quarter of the check tables' text twice, at about twice the budget of the check tool (README).
 
 Null text is empty; texts shorter than LENGTH have no repeat; repeated rows and doc_ids are
-documents of their own (one text twice is repeated as a whole); an empty table gives no rows;
-extra columns are ignored. Equality by hash is on 128 bits or more.
+documents of their own (one text twice is repeated as a whole); a very long text is read whole, in
+a slice of its own; an empty table gives no rows; extra columns are ignored. Equality by hash is on
+128 bits.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ GRAM = 40
 STEP = 13
 #: Open ranges of a key that one index takes; beyond that the key is cut further.
 HOT = 500
+#: Keys beyond HOT that are broadcast at most.
+CROWDS = 500_000
 #: Bytes of one run-length index, about.
 INDEX_BYTES = 1_500_000
 _C = constants(64, 51)
@@ -135,40 +142,36 @@ def _first_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, same) -> settled ranges, and open ones (n = 1, or 3 under a crowded key)."""
+    """Rows sorted by (key, same) -> settled ranges, and open ones (n = 1): one of each kind, where kinds share a key.
 
-    def solve(cols: list[np.ndarray]) -> pa.RecordBatch:
-        key, same, n = cols[1], cols[2], cols[6]
-        old = n == _SETTLED
-        out = [c[old] for c in cols]
+    From batch to batch one row is held, the first of the last kind, however many rows its key has.
+    """
+    held: list[np.ndarray] | None = None
+    settled_held = sent_held = others = False  # of the held row: whether it went out, and whether its key has other kinds
+    for batch in batches:
+        cols = [c.to_numpy() for c in batch.columns]
+        old = cols[6] == _SETTLED
+        out = [[c[old] for c in cols]]
         cols = [c[~old] for c in cols]
-        key, same, n = cols[1], cols[2], cols[6]
-        if len(key):
+        if len(cols[0]):
+            settled, sent = np.zeros(len(cols[0]), bool), np.zeros(len(cols[0]), bool)
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+                settled, sent = np.append(settled_held, settled), np.append(sent_held, sent)
+            key, same, n = cols[1], cols[2], cols[6]
             new_key = np.concatenate([[True], key[1:] != key[:-1]])
             new = new_key | np.concatenate([[True], same[1:] != same[:-1]])
             group, kind = np.cumsum(new_key) - 1, np.cumsum(new) - 1
-            total = np.bincount(kind, n)[kind]  # 2 or more: equal ranges somewhere
-            kinds = np.bincount(group[new])[group]
-            done = (total > 1) & (n == 1)
-            settled = [c[done] for c in cols]
-            settled[6] = np.zeros(len(settled[0]), np.int64)
-            go = new & (kinds > 1)  # one of each kind, where several kinds share the key
-            again = [c[go] for c in cols]
-            again[6] = np.where(kinds[go] > HOT, 3, 1)
-            out = [np.concatenate(x) for x in zip(out, settled, again)]
-        return _items(out)
-
-    rest: list[np.ndarray] | None = None
-    for batch in batches:
-        cols = [c.to_numpy() for c in batch.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols)]
-        cut = int(np.searchsorted(cols[1], cols[1][-1])) if len(cols[1]) else 0
-        if cut:
-            yield solve([c[:cut] for c in cols])
-        rest = [c[cut:] for c in cols]
-    if rest is not None and len(rest[0]):
-        yield solve(rest)
+            kinds = np.bincount(group[new])
+            kinds[0] += held is not None and others
+            done = (np.bincount(kind, n)[kind] > 1) & (n == 1) & ~settled  # equal ranges somewhere
+            go = new & (kinds[group] > 1) & ~sent
+            out.append([*(c[done] for c in cols[:6]), np.zeros(int(done.sum()), np.int64)])
+            out.append([*(c[go] for c in cols[:6]), np.ones(int(go.sum()), np.int64)])
+            last = int(np.flatnonzero(new)[-1])
+            held = [c[last : last + 1] for c in cols]
+            settled_held, sent_held, others = bool(settled[last] | done[last]), bool(sent[last] | go[last]), bool(kinds[group[last]] > 1)
+        yield _items([np.concatenate(x) for x in zip(*out)])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
@@ -277,11 +280,15 @@ def repeated_starts(rows: DataFrame, scratch: Scratch) -> DataFrame:
     whole = grouped(rows.mapInArrow(_first_ranges, _ITEM_SQL), "ranges")
     cells = grouped(cut(whole.where("n > 0"), STEP), "cells")
     done = whole.where("n = 0").select("row", "lo", "hi").unionByName(cells.where("n = 0").select("row", "lo", "hi"))
-    crowded = cells.where("n = 3")
-    if not crowded.isEmpty():
-        single = grouped(cut(crowded, 1), "single")
+    open_ = cells.where("n = 1")
+    crowd = scratch.keep(open_.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT).select("key"), "crowd")
+    many = crowd.count()
+    if many:
+        few = F.broadcast(crowd) if many <= CROWDS else crowd
+        single = grouped(cut(open_.join(few, "key", "left_semi"), 1), "single")
         done = done.unionByName(single.where("n = 0").select("row", "lo", "hi"))
-    strings = with_open(cells.where("n = 1")).mapInArrow(_bytes, "key long, row long, lo int, bytes binary")
+        open_ = open_.join(few, "key", "left_anti")
+    strings = with_open(open_).mapInArrow(_bytes, "key long, row long, lo int, bytes binary")
     found = strings.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_indexed, "row long, lo int, hi int")
     return done.unionByName(scratch.keep(found, "indexed"))
 
@@ -321,7 +328,7 @@ def without_repeats(docs: DataFrame, text: str = "text", ident: str = "doc_id")
         base = scratch.keep(base.withColumn("row", F.monotonically_increasing_id()), "rows")
     found = repeated_starts(base.select("row", "text"), scratch)
     lists = scratch.keep(found.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("found")), "found")
-    for name in ("ranges", "cells", "single", "indexed"):
+    for name in ("ranges", "cells", "crowd", "single", "indexed"):
         scratch.drop(name)
     return base.join(lists, "row", "left").select("doc_id", "text", "found").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 

@@ -13,8 +13,12 @@ at most an eighth of the window, the Jaccard similarity is at least ``worst_jacc
 a band meets with probability ``collision(worst_jaccard())``, over 0.999. Templates of one
 shingle are found by that shingle's hash itself.
 
-Null and empty texts have no match and give no row; repeated rows give their matches again;
-an empty table gives none; extra columns are ignored. A row per document and license.
+A class has one band table, so a window is looked up by its BANDS values, however many templates
+there are.
+
+Null and empty texts have no match and give no row; repeated rows give their matches again; a very
+long text is covered by windows whole; an empty table gives none; extra columns are ignored. Of
+equally good matches the first in the text counts. A row per document and license.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.scratch import small_batches
-from weftline.llm.textcode import U, column_bytes, constants, grams, lower_table, mix, slices, span_hashes, word_spans
+from weftline.llm.textcode import U, column_bytes, constants, grams, lower_table, mix, ranges, slices, span_hashes, word_spans
 
 SHINGLE = 5
 CONTAINED = 0.8
@@ -90,6 +94,7 @@ class Templates:
                 self.classes[-1][2].append(t)
             else:
                 self.classes.append((k, len(s), [t]))
+        self.bands = [Bands(size, [self.sets[t][1] for t in members]) if size > 1 else None for _, size, members in self.classes]
 
 
 def _words(bytes_: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,27 +102,52 @@ def _words(bytes_: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarra
     return span_hashes(flat, start, end), first
 
 
-def _candidates(h: np.ndarray, size: int, sets: list[np.ndarray]) -> list[np.ndarray]:
+class Bands:
+    """The band table of templates that go with one size of window: for each band its values and whose they are."""
+
+    def __init__(self, size: int, sets: list[np.ndarray]):
+        self.size, self.count = size, len(sets)
+        self.values, self.owners = [], []
+        for band in range(BANDS):
+            of = np.array([_band(np.array([mix(s ^ c).min() for c in _HASH[band * ROWS : band * ROWS + ROWS]], np.uint64)[:, None])[0] for s in sets], np.uint64)
+            order = np.argsort(of, kind="stable")
+            self.values.append(of[order])
+            self.owners.append(order)
+
+    def windows(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(template, start) of every window of ``size`` hashes that shares a band with a template."""
+        stride = max(1, self.size // 4)
+        lead = np.arange(0, len(h), stride)
+        most = -(-self.size // stride)
+        found = []
+        for band, (values, owners) in enumerate(zip(self.values, self.owners)):
+            rows = []
+            for c in _HASH[band * ROWS : band * ROWS + ROWS]:
+                block = np.minimum.reduceat(mix(h ^ c), lead)
+                least = block.copy()
+                for j in range(1, most):
+                    least[: len(lead) - j] = np.minimum(least[: len(lead) - j], block[j:])
+                rows.append(least)
+            key = _band(np.stack(rows))
+            first = np.searchsorted(values, key)
+            count = np.searchsorted(values, key, "right") - first
+            at = np.flatnonzero(count)
+            found.append(owners[ranges(first[at], count[at])] * len(lead) + np.repeat(at, count[at]))
+        both = np.unique(np.concatenate(found))
+        return both // len(lead), lead[both % len(lead)]
+
+
+def _band(rows: np.ndarray) -> np.ndarray:
+    """One value of the ROWS minima of a band."""
+    return rows[0] if len(rows) == 1 else grams(rows.T.ravel(), len(rows), 62)[:: len(rows)]
+
+
+def _candidates(h: np.ndarray, size: int, sets: list[np.ndarray], bands: Bands | None = None) -> list[np.ndarray]:
     """For each template the starts of windows of ``size`` hashes that share a band with it."""
     if size == 1:
         return [np.flatnonzero(h == s[0]) for s in sets]
-    stride = max(1, size // 4)
-    lead = np.arange(0, len(h), stride)
-    most = -(-size // stride)
-    hit = [np.zeros(len(lead), bool) for _ in sets]
-    for band in range(BANDS):
-        seen = [np.ones(len(lead), bool) for _ in sets]
-        for row in range(ROWS):
-            c = _HASH[band * ROWS + row]
-            block = np.minimum.reduceat(mix(h ^ c), lead)
-            least = block.copy()
-            for j in range(1, most):
-                least[: len(lead) - j] = np.minimum(least[: len(lead) - j], block[j:])
-            for k, s in enumerate(sets):
-                seen[k] &= least == mix(s ^ c).min()
-        for k in range(len(sets)):
-            hit[k] |= seen[k]
-    return [lead[x] for x in hit]
+    which, start = (bands or Bands(size, sets)).windows(h)
+    return [start[which == k] for k in range(len(sets))]
 
 
 def best_containment(h: np.ndarray, shingles: np.ndarray, width: int) -> tuple[float, int, int]:
@@ -143,11 +173,11 @@ def find(templates: Templates, bytes_: tuple[np.ndarray, np.ndarray]) -> dict[tu
     """(text, license) -> (containment, windows that match, first word, last word) of its best match."""
     words, first = _words(bytes_)
     out: dict[tuple[int, int], tuple[float, int, int, int]] = {}
-    for k, size, members in templates.classes:
+    for (k, size, members), bands in zip(templates.classes, templates.bands):
         h = grams(words, k)
         if not len(h):
             continue
-        found = _candidates(h, size, [templates.sets[t][1] for t in members])
+        found = _candidates(h, size, [templates.sets[t][1] for t in members], bands)
         for t, starts in zip(members, found):
             name, shingles, _ = templates.sets[t]
             width = int(np.ceil(len(shingles) * (1 + SLACK)))

@@ -18,8 +18,6 @@ from weftline.schema import KINDS, RELATIONS
 Extractor = Callable[[DataFrame], DataFrame]
 
 _IDENTIFIER = r"'([^'\n]{2,60})'|\b([A-Z][a-z0-9]+(?:[A-Z][A-Za-z0-9]*)+|[A-Z]+[0-9-]+[A-Z0-9-]*)\b"
-#: Entities that one chunk relates to each other at most: the first by name, as the pairs grow with the square.
-PAIRED = 12
 
 
 def identifiers(chunks: DataFrame) -> DataFrame:
@@ -39,7 +37,8 @@ def extract(chunks: DataFrame, extractor: Extractor = identifiers) -> tuple[Data
     entities = merged(named)
     key = F.concat_ws("/", "model", "name")
     mentions = named.select(key.alias("src"), F.col("id").alias("dst"), F.lit("MENTIONED_IN").alias("type")).distinct()
-    lists = named.groupBy("id", "model").agg(F.slice(F.array_sort(F.collect_set("name")), 1, PAIRED).alias("names"))
+    # a chunk has a bounded number of words, so its pairs of names are bounded too
+    lists = named.groupBy("id", "model").agg(F.array_sort(F.collect_set("name")).alias("names"))
     left = lists.select("id", "model", F.explode("names").alias("a"), "names")
     pairs = left.select("model", "a", F.explode(F.filter("names", lambda b: b > F.col("a"))).alias("b")).groupBy("model", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     related = pairs.select(F.concat_ws("/", "model", "a").alias("src"), F.concat_ws("/", "model", "b").alias("dst"), F.lit("RELATED_TO").alias("type"), F.lit("dependson").alias("relationship_type"), F.col("n").cast("double").alias("weight"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,7 +68,7 @@ def scopes(elements: DataFrame, depth: int = 5) -> DataFrame:
     return out.select("model", "qualified", "scope", F.row_number().over(order).alias("step"))
 
 
-def follow(references: DataFrame, elements: DataFrame, ident: str = "ref_id", longest: int = 8) -> DataFrame:
+def follow(references: DataFrame, elements: DataFrame, ident: str = "ref_id") -> DataFrame:
     """``(ref_id, hit)`` for dotted feature paths: each segment is a feature of a scope of the one before."""
     parts = F.filter(F.split(F.regexp_replace(F.trim("reference"), "^['\"]+|['\"]+$", ""), r"\."), lambda s: s != "")
     paths = references.withColumn("_parts", parts).where(F.size("_parts") >= 2)
@@ -76,7 +78,7 @@ def follow(references: DataFrame, elements: DataFrame, ident: str = "ref_id", lo
     heads = paths.select(ident, "model", F.col("_parts")[0].alias("reference"), "source")
     at = nearest(heads, suffixes(elements), ident).join(paths.select(ident, "model", "_parts"), ident)
     done = None
-    for i in range(1, longest):
+    for i in count(1):  # until the longest path has ended
         here = at.where(F.size("_parts") > i).withColumn("_name", F.upper(F.col("_parts")[i]))
         step = here.join(around, ["model", "hit"]).join(children, ["model", "_scope", "_name"])
         at = settled(step.groupBy(ident).agg(F.min_by("_child", "step").alias("hit")).join(paths.select(ident, "model", "_parts"), ident))

@@ -85,7 +85,7 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
 
 
-def dependency_tree(edges: DataFrame, root: str, most: int = 30) -> DataFrame:
+def dependency_tree(edges: DataFrame, root: str) -> DataFrame:
     """``(vertex, parent, depth, way, label)`` of an import tree from one root.
 
     Paths expand in the order of names; a vertex on its own path is a ``cycle`` and ends there.
@@ -95,7 +95,7 @@ def dependency_tree(edges: DataFrame, root: str, most: int = 30) -> DataFrame:
     every = edges.select("src", "dst").distinct()
     front = edges.sparkSession.range(1).select(F.lit(root).alias("vertex"), F.lit(None).cast("string").alias("parent"), F.array(F.lit(root)).alias("way"), F.lit(False).alias("cycle"))
     out = front
-    for _ in range(most):
+    while True:  # a path ends where it meets itself
         front = front.where("not cycle").join(every, F.col("vertex") == F.col("src"))
         front = settled(front.select(F.col("dst").alias("vertex"), F.col("src").alias("parent"), F.concat("way", F.array("dst")).alias("way"), F.array_contains("way", F.col("dst")).alias("cycle")))
         if front.isEmpty():

@@ -14,7 +14,7 @@ import corpus_pipeline
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_simhash import brute as fingerprint
 from tests.llm.test_simhash import brute_components
-from weftline.llm import decontaminate, exactdedup, langid, packing, simhash, tokenfile, toxicity
+from weftline.llm import decontaminate, exactdedup, htmltext, langid, licenses, packing, repeats, simhash, tokenfile, toxicity
 
 ODD = [
     (1, None, None, "s", 0), (2, "", "en", None, 0), (3, "  ", "en", "s", 2), (4, "same text here and there", "en", "s", 1), (5, "same text here and there", "en", "s", 1),
@@ -24,9 +24,9 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.mark.parametrize("rows", [ODD, []])
-def test_odd_rows(spark, rows):
+def test_odd_rows(spark, rows, tmp_path):
     docs = spark.createDataFrame(rows, SCHEMA)
-    for clash in ("keep_id", "component_id", "fp", "id", "n", "key", "digest", "score", "start", "items", "token"):
+    for clash in ("keep_id", "component_id", "fp", "id", "n", "key", "digest", "score", "start", "items", "token", "_own", "_score", "_lang", "_stay", "lang_pred", "lang_score", "group", "size", "stay"):
         docs = docs.withColumn(clash, docs.n_chars)
     bench = spark.createDataFrame([(1, "same text here and there"), (None, None)], "item_id long, text string")
     labels = spark.createDataFrame([(2, 1, 1), (None, None, None)], "doc_id long, quality int, toxic int")
@@ -37,6 +37,12 @@ def test_odd_rows(spark, rows):
     assert langid.classify(docs, langid.train(docs)).count() == n
     assert toxicity.scored(docs, toxicity.train(docs, labels)).count() == n
     assert sum(r.length for r in packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).collect()) >= n
+    assert repeats.without_repeats(docs).count() == n
+    assert licenses.licenses(docs).count() == 0
+    tokenfile.write_tokens(docs, str(tmp_path / "file"), public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenfile.read_tokens(spark, str(tmp_path / "file")).count() == n
+    pages = docs.withColumnRenamed("doc_id", "page_id").withColumnsRenamed({"text": "html", "source": "url"})
+    assert htmltext.extract(pages).count() == n
     for name, stage in (("exact", lambda: exactdedup.without_copies(docs)), ("near", lambda: simhash.one_of_each(docs)), ("clean", lambda: decontaminate.decontaminated(docs, bench)), ("language", lambda: langid.accepted(docs))):
         out = stage()
         assert out.columns == docs.columns, name

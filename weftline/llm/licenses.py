@@ -125,7 +125,7 @@ class Bands:
             for c in _HASH[band * ROWS : band * ROWS + ROWS]:
                 block = np.minimum.reduceat(mix(h ^ c), lead)
                 least = block.copy()
-                for j in range(1, most):
+                for j in range(1, min(most, len(lead))):
                     least[: len(lead) - j] = np.minimum(least[: len(lead) - j], block[j:])
                 rows.append(least)
             key = _band(np.stack(rows))

@@ -244,12 +244,7 @@ def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
-    """All ``documents``: a row for each, ``und`` for null and letterless texts; an empty table gives none.
-
-    ``accepted`` says whether the score reaches the calibrated rejection, which the pipeline applies.
-    """
+    """All ``documents``: a row for each, ``und`` for null and letterless texts; an empty table gives none."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs)
-    out = classify(docs, model)
-    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= model.reject_below)
-    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", sure.alias("accepted"))
+    out = classify(docs, train(docs))
+    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")

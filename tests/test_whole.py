@@ -21,7 +21,7 @@ def test_every_part_is_resolved(spark, tmp_path):
         best = [f for f in found if len(found) == 1 or shared(f) == max(map(shared, found))]
         if len(best) == 1:
             want[key] = "::".join(best[0])
-    got = {r.p_partkey: r.hit for r in queries.QUERIES["suffix_index_resolution_all"](spark, sf).collect()}
+    got = {r.p_partkey: r.hit for r in queries.QUERIES["suffix_index_resolution"](spark, sf).collect()}
     assert got == want and len(want) == 60
 
 
@@ -30,7 +30,7 @@ def test_edges_of_every_nation_are_moved(spark, tmp_path):
     sf = save(spark, tmp_path, nation=([(n,) for n in nations], "n_nationkey int"), supplier=([(n,) for n in nations if n % 3], "s_nationkey int"), customer=([(n,) for n in nations if n % 4 != 1], "c_nationkey int"))
     into = lambda n: n - 7 if n % 7 == 0 and n else n
     want = {(into(a), into(b)) for a in nations if a % 3 for b in nations if b % 4 != 1 if into(a) != into(b)}
-    got = [tuple(r) for r in queries.QUERIES["repoint_merge_all"](spark, sf).select("src", "dst").collect()]
+    got = [tuple(r) for r in queries.QUERIES["repoint_merge"](spark, sf).select("src", "dst").collect()]
     assert sorted(got) == sorted(want) and max(a for a, _ in want) == 23
 
 
@@ -45,7 +45,7 @@ def test_components_of_all_orders(spark, tmp_path):
         if o in customer:
             both = group.get(customer[o], {customer[o]}) | group.get(10**9 + p, {10**9 + p})
             group |= dict.fromkeys(both, both)
-    got = {r.id: r.component for r in queries.QUERIES["components_all"](spark, sf).collect()}
+    got = {r.id: r.component for r in queries.QUERIES["components"](spark, sf).collect()}
     assert got == {x: min(g) for x, g in group.items()} and set(got.values()) == {0, 10, 20}
 
 

@@ -404,18 +404,12 @@ def disambiguate_names(spark, sf_dir):
 
 @query(f"""
 WITH d AS (SELECT DISTINCT upper({_QUALIFIED}) AS hit, upper(p_brand) AS b, upper(p_type) AS t, upper(p_name) AS n FROM part),
-r AS (SELECT p_partkey, upper(p_name) AS ref, upper(p_brand) AS b, upper(p_type) AS t FROM part WHERE p_size % 5 = 0),
+r AS (SELECT p_partkey, upper(p_name) AS ref, upper(p_brand) AS b, upper(p_type) AS t FROM part),
 c AS (SELECT p_partkey, hit, CASE WHEN r.b <> d.b THEN 0 WHEN r.t <> d.t THEN 1 ELSE 3 END AS shared FROM r JOIN d ON d.n = r.ref)
 SELECT p_partkey, min(hit) AS hit FROM (SELECT *, max(shared) OVER (PARTITION BY p_partkey) AS best, count(*) OVER (PARTITION BY p_partkey) AS n FROM c) WHERE n = 1 OR shared = best GROUP BY p_partkey HAVING count(*) = 1
 """, graph=False)
 def suffix_index_resolution(spark, sf_dir):
-    """References by bare name resolved to the nearest declaration; ties name nothing. Asks a fifth of the parts, as its SQL does."""
-    return _resolved(spark, sf_dir, table(spark, sf_dir, "part").where("p_size % 5 = 0"))
-
-
-@query()
-def suffix_index_resolution_all(spark, sf_dir):
-    """The names of all parts resolved to the nearest declaration; ties name nothing."""
+    """References by bare name resolved to the nearest declaration; ties name nothing."""
     return _resolved(spark, sf_dir, table(spark, sf_dir, "part"))
 
 
@@ -448,9 +442,9 @@ def dedupe_edges(spark, sf_dir):
     return reconcile.one_of_equal(r).select("src", "dst", "line")
 
 
-def _repointed(spark, sf_dir, nations) -> DataFrame:
-    """Edges from nations of suppliers to nations of customers, of these nations, after the merge."""
-    of = lambda name, key: table(spark, sf_dir, name).select(F.col(key).cast("long").alias("n_nationkey")).where(nations).distinct()
+def _repointed(spark, sf_dir) -> DataFrame:
+    """Edges from nations of suppliers to nations of customers, after the merge."""
+    of = lambda name, key: table(spark, sf_dir, name).select(F.col(key).cast("long").alias("n_nationkey")).distinct()
     a = of("supplier", "s_nationkey").withColumnRenamed("n_nationkey", "src")
     b = of("customer", "c_nationkey").withColumnRenamed("n_nationkey", "dst")
     edges = a.join(F.broadcast(b)).select("src", "dst", F.lit("RELATED_TO").alias("type"), F.lit("trades").alias("relationship_type"))  # keys of nations only
@@ -462,18 +456,12 @@ _MERGED = "CASE WHEN x % 7 = 0 AND x > 0 THEN x - 7 ELSE x END"
 
 
 @query(f"""
-WITH m AS (SELECT DISTINCT {_MERGED.replace('x', 's_nationkey')} AS src, {_MERGED.replace('x', 'c_nationkey')} AS dst FROM (SELECT DISTINCT s_nationkey FROM supplier) CROSS JOIN (SELECT DISTINCT c_nationkey FROM customer) WHERE s_nationkey < 15 AND c_nationkey < 15)
+WITH m AS (SELECT DISTINCT {_MERGED.replace('x', 's_nationkey')} AS src, {_MERGED.replace('x', 'c_nationkey')} AS dst FROM (SELECT DISTINCT s_nationkey FROM supplier) CROSS JOIN (SELECT DISTINCT c_nationkey FROM customer))
 SELECT src, dst FROM m WHERE src <> dst
 """, graph=False)
 def repoint_merge(spark, sf_dir):
-    """Edges moved off merged vertices; loops and repeats that arise are dropped. Keeps nations below 15, as its SQL does."""
-    return _repointed(spark, sf_dir, F.col("n_nationkey") < 15)
-
-
-@query()
-def repoint_merge_all(spark, sf_dir):
-    """Edges between all nations moved off merged vertices; loops and repeats that arise are dropped."""
-    return _repointed(spark, sf_dir, F.lit(True))
+    """Edges moved off merged vertices; loops and repeats that arise are dropped."""
+    return _repointed(spark, sf_dir)
 
 
 @query("SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE s_nationkey <> c_nationkey GROUP BY ALL", graph=False)
@@ -619,27 +607,14 @@ def analogy_capped(spark, sf_dir):
     return similarity.similar_edges(similarity.capped(best)).drop("rank")
 
 
-_LINKS = "l AS (SELECT DISTINCT o_custkey AS src, 1000000000 + l_partkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' AND l_quantity >= 49)"
-
-
-def _links(spark, sf_dir, orders="true", items="true") -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(orders).select("o_orderkey", "o_custkey")
-    i = table(spark, sf_dir, "lineitem").where(items).select("l_orderkey", "l_partkey")
+def _links(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    i = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return o.join(i, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("src"), (F.col("l_partkey") + 1_000_000_000).alias("dst")).distinct()
 
 
-@query(f"""
-WITH RECURSIVE {_LINKS}, e AS (SELECT src AS a, dst AS b FROM l UNION ALL SELECT dst, src FROM l),
-r AS (SELECT DISTINCT a AS id, a AS c FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.c)
-SELECT id, min(c) AS component FROM r GROUP BY id
-""", graph=False)
-def components(spark, sf_dir):
-    """Connected components of customers and the parts they urgently ordered many of: the slice that its SQL names."""
-    return communities.components(_links(spark, sf_dir, F.col("o_orderpriority") == "1-URGENT", F.col("l_quantity") >= 49))
-
-
 @query()
-def components_all(spark, sf_dir):
+def components(spark, sf_dir):
     """Connected components of all customers and the parts they ordered."""
     return communities.components(_links(spark, sf_dir))
 

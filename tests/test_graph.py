@@ -31,11 +31,15 @@ def test_build_save_load(spark, tmp_path, capsys):
     assert g.sql("SELECT count(*) n FROM entities WHERE short_name = 'REQ-7' AND contains(description, 'REQ-7')").first().n == 1
     assert g.relations.where("relationship_type = 'satisfies' AND stated").count() == 1
     assert g.entities.where("size(models) > 1").count() == 0 and g.entities.where("entity_name = 'STAGE'").count() == 2
-    assert {r.type for r in g.relations.select("type").distinct().collect()} >= {"RELATED_TO", "IN_COMMUNITY", "PART_OF", "MENTIONED_IN"}
+    assert {r.type for r in g.relations.select("type").distinct().collect()} >= {"RELATED_TO", "IN_COMMUNITY", "PART_OF", "MENTIONED_IN", "SUB_COMMUNITY_OF"}
+    inner = g.relations.where("type = 'SUB_COMMUNITY_OF'").alias("r")
+    keys = g.communities.select("_key", "level")
+    assert inner.join(keys.alias("a"), F.expr("a._key = r.src and a.level = 1")).join(keys.alias("b"), F.expr("b._key = r.dst and b.level = 0")).count() == g.communities.where("level = 1").count()
     assert cli.main(["ask", str(tmp_path / "out"), "which rocket stages", "--scope", "unified"]) == 0
     assert cli.main(["sql", str(tmp_path / "out"), "drop table x"]) == 1 and cli.main(["profile", str(tmp_path / "out")]) == 0
     out = capsys.readouterr().out
     assert "retrieved" in out and "refused" in out and "### most connected" in out and "(unavailable" not in out
+    assert Graph.drop(spark, str(tmp_path / "out")) and not Graph.drop(spark, str(tmp_path / "out")) and list((tmp_path / "out").iterdir()) == []
 
 
 def test_identifiers(spark):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def graph(spark):
     docs = spark.createDataFrame([("d1", "f", "models/f", "rocket stages are heavy " * 3), ("d2", "g", "models/g", "nothing at all")], "id string, file_name string, citable_url string, content string")
     chunks = vector.embed(text.chunks(docs, 5, ident="id", text="content").withColumnRenamed("id", "doc_id").withColumn("id", F.concat_ws("-", "doc_id", "chunk_order_index")), "content").cache()
     rep = spark.createDataFrame([("c1", 1, "rockets and stages of the rocket", 5.0), ("c2", 1, "boats", 9.0), ("c3", 0, "rocket", 1.0)], "_key string, level int, t string, r double")
-    coms = vector.embed(rep, "t").select("_key", "level", "embedding", F.struct(F.col("t").alias("title"), F.col("t").alias("summary"), F.col("r").alias("rating")).alias("report_json"))
+    coms = vector.embed(rep, "t").select("_key", "level", "embedding", F.struct(F.col("t").alias("title"), F.col("t").alias("summary"), F.col("r").alias("rating"), F.array(F.struct(F.lit("big").alias("summary"), F.col("t").alias("explanation")), F.struct(F.col("_key").alias("summary"), F.col("t").alias("explanation"))).alias("findings")).alias("report_json"))
     for name, df in (("entities", entities), ("relations", edges), ("documents", docs), ("chunks", chunks), ("communities", coms)):
         df.createOrReplaceTempView(name)
     return entities, edges, docs, chunks, coms
@@ -69,6 +71,21 @@ def test_ask(spark, graph):
     assert "Q  " in first.show()
 
 
+def test_a_plan_that_fails_is_planned_anew(spark, graph):
+    class Slow:
+        asked: list[str] = []
+
+        def plan(self, question, schema, correction=""):
+            self.asked.append(correction)
+            return (f"select nope{len(self.asked)} from entities" if len(self.asked) < self.good else "select 1 as one"), {}
+
+    for good, tries, ok in ((4, 4, True), (9, ask.ATTEMPTS, False)):
+        planner = Slow()
+        planner.asked, planner.good = [], good
+        got = ask.ask(spark, planner, "what")
+        assert got.ok == ok and len(planner.asked) == tries and planner.asked[0] == "" and "nope1" in planner.asked[1]
+
+
 def test_retrieval(graph):
     r = ask.Retriever(*(graph[i] for i in (0, 1, 3, 2, 4)))
     local = r.local("rocket stages", 2).collect()
@@ -78,6 +95,9 @@ def test_retrieval(graph):
     answer = r.ask("rocket stages", "unified")
     assert "[CITE:1]" in answer.context and answer.rows[0]["url"] == "models/f" and "passage" in answer.retrieved
     assert "rockets" in r.ask("rockets and stages", "global").context
+    assert [(p.point, p.rating, p.reports) for p in r.points("rockets and stages").collect()] == [("big", 5.0, 1), ("c1", 5.0, 1)]
+    assert [(p.point, p.rating, p.reports) for p in r.points("rockets", floor=-2).collect()] == [("big", 14.0, 2), ("c2", 9.0, 1), ("c1", 5.0, 1)]
+    assert "big" in r.ask("rockets and stages", "global").context
     assert "rocket" in answer.evidence(80, "rocket") and "does not occur" in answer.evidence(80, "zeppelin")
     with pytest.raises(ValueError):
         r.ask("x", "elsewhere")
@@ -127,10 +147,31 @@ def test_walks(spark):
     assert sorted((r.to, r.direction) for r in traverse.neighbors(s, e).collect()) == [("b", "incoming"), ("b", "outgoing")]
 
 
+@pytest.mark.parametrize("least,most", [(0, 5), (1, 5), (2, 4)])
+@pytest.mark.parametrize("last", [False, True])
+def test_reach_equals_a_walk_of_all_pairs(spark, least, most, last):
+    """Cyclic graphs: every pair at its least depth within the bounds."""
+    rng = random.Random(least * 7 + most)
+    rows = sorted({(rng.randrange(14), rng.randrange(14), rng.choice("kx")) for _ in range(30)})
+    e = spark.createDataFrame(rows, "src int, dst int, k string")
+    starts, want = range(0, 14, 3), {}
+    for s in starts:
+        front = {s}
+        for depth in range(most + 1):
+            ends = front if depth == 0 else {b for a, b, k in rows if a in before and (k == "k" or not last)}
+            if depth >= least:
+                for v in ends:
+                    want.setdefault((s, v), depth)
+            before, front = front if depth == 0 else {b for a, b, _ in rows if a in before}, front
+    got = traverse.reach(spark.createDataFrame([(s,) for s in starts], "id int"), e, least, most, last=F.col("k") == "k" if last else None).collect()
+    assert sorted((r.start, r.vertex, r.depth) for r in got) == sorted((*pair, depth) for pair, depth in want.items())
+
+
 def test_communities(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (6, 6)], "src long, dst long")
     assert {r.id: r.component for r in communities.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
     h = communities.hierarchy(e)
+    assert {tuple(r) for r in communities.nested(h).collect()} == {tuple(r) for r in h.alias("a").join(h.alias("b"), "id").where("a.level = 1 and b.level = 0").select("a.cluster", "b.cluster").collect()}
     assert h.where("level = 0").count() == 6 and h.where("level = 1").count() == 6
 
 

@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     make.add_argument("root")
     make.add_argument("folder")
     make.add_argument("--chunk", type=int, default=1200)
+    make.add_argument("--strict", action="store_true", help="read what the notation means where the reader has known limits")
     question = sub.add_parser("ask")
     question.add_argument("folder")
     question.add_argument("question")
@@ -30,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if args.do == "build":
-        build(spark, args.root, args.chunk).save(args.folder)
+        build(spark, args.root, args.chunk, strict=args.strict).save(args.folder)
         Graph.load(spark, args.folder).summary().show()
         return 0
     graph = Graph.load(spark, args.folder)

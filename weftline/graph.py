@@ -26,9 +26,11 @@ class Graph:
     relations: DataFrame
 
     def save(self, folder: str) -> None:
-        """Write all tables, replacing what was there; relations by type and kind."""
+        """Write all tables, replacing what was there; relations by type, and sorted by kind so that row groups can be skipped."""
         for f in fields(self):
             df: DataFrame = getattr(self, f.name)
+            if f.name == "relations" and "relationship_type" in df.columns:
+                df = df.sortWithinPartitions("type", "relationship_type", "src")
             writer = df.write.mode("overwrite")
             (writer.partitionBy("type") if f.name == "relations" else writer).parquet(f"{folder}/{f.name}")
 
@@ -36,6 +38,13 @@ class Graph:
     def load(cls, spark: SparkSession, folder: str) -> Graph:
         return cls(**{t: spark.read.parquet(f"{folder}/{t}") for t in TABLES})
 
+    @staticmethod
+    def drop(spark: SparkSession, folder: str) -> bool:
+        """Delete a saved graph's tables, nothing else in the folder; whether there was one."""
+        place = spark._jvm.org.apache.hadoop.fs.Path
+        fs = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        return any([fs.delete(place(f"{folder}/{t}"), True) for t in TABLES])
+
     def register(self) -> None:
         """Views of the tables' names."""
         for t in TABLES:
@@ -54,7 +63,7 @@ class Graph:
         return self.documents.sparkSession.sql(query, args=args)
 
 
-def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.Extractor = extract.identifiers, create: bool = True) -> Graph:
+def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.Extractor = extract.identifiers, create: bool = True, strict: bool = False) -> Graph:
     """Read every model file below root: documents, chunks, prose entities, then the stated layer over them, communities, vectors."""
     files = reader.sources(spark, root)
     numbers = settled(reader.models(files))
@@ -71,7 +80,7 @@ def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.
         null("string").alias("source_file"), null("int").alias("source_line"), null("boolean").alias("stated"),
     )
     related = related.select("src", "dst", "type", "relationship_type", F.lit("").alias("description"), null("boolean").alias("stated"), null("string").alias("source_file"), null("int").alias("source_line"))
-    elements, stated = reader.read(files)
+    elements, stated = reader.read(files, strict)
     entities, edges = reconcile.apply(settled(elements), settled(stated), numbers, settled(named), settled(related), create)
     entities = settled(vector.embed(entities, "description"))
     edges = settled(vector.embed(edges, "description").withColumn("weight", F.lit(1.0)).withColumn("order", F.lit(1)))
@@ -80,9 +89,11 @@ def build(spark: SparkSession, root: str, chunk: int = 1200, extractor: extract.
     reports = com.reports(members, entities.count()).withColumn("_key", F.concat_ws("-", F.col("level").cast("string"), F.sha1("cluster")))
     reports = vector.embed(reports.withColumn("report_string", F.concat_ws(": ", "title", "report_json.summary")), "report_string")
     belongs = members.select(F.col("id").alias("src"), F.concat_ws("-", F.col("level").cast("string"), F.sha1("cluster")).alias("dst"), F.lit("IN_COMMUNITY").alias("type"))
+    key = lambda level, cluster: F.concat_ws("-", F.lit(level), F.sha1(cluster))
+    within = com.nested(levels).select(key("1", "cluster").alias("src"), key("0", "within").alias("dst"), F.lit("SUB_COMMUNITY_OF").alias("type"))
     parts_of = chunks.select(F.col("id").alias("src"), F.col("full_doc_id").alias("dst"), F.lit("PART_OF").alias("type"))
     kept = mentions.join(entities.select(F.col("id").alias("src")), "src", "left_semi")
-    relations = edges.unionByName(belongs.unionByName(parts_of).unionByName(kept), allowMissingColumns=True)
+    relations = edges.unionByName(belongs.unionByName(within).unionByName(parts_of).unionByName(kept), allowMissingColumns=True)
     return Graph(documents, chunks, entities, reports, relations)
 
 

@@ -45,6 +45,12 @@ def hierarchy(edges: DataFrame, rounds: int = 5) -> DataFrame:
     return coarse.unionByName(fine)
 
 
+def nested(levels: DataFrame) -> DataFrame:
+    """``(cluster, within)``: the component that each propagated community lies in."""
+    fine = levels.where("level = 1").select("id", "cluster")
+    return fine.join(levels.where("level = 0").select("id", F.col("cluster").alias("within")), "id").select("cluster", "within").distinct()
+
+
 def reports(members: DataFrame, corpus_size: int) -> DataFrame:
     """A report per (level, cluster) of members (id, level, cluster, entity_name, entity_type): title, occurrence, findings."""
     kinds = members.groupBy("level", "cluster", "entity_type").agg(F.count(F.lit(1)).alias("n"), F.min("entity_name").alias("example"))

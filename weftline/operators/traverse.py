@@ -35,7 +35,8 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
     """``(start, vertex, depth)``: vertices reached in ``least`` to ``most`` steps, each at its least depth.
 
     where: holds for every edge of the path (the walk is pruned). last: holds for the last edge
-    only, which earlier steps may violate.
+    only, which earlier steps may violate. A pair that was reached before isn't expanded again (with
+    ``least`` above 1 it may have to be), and the walk ends where a step finds nothing new.
     """
     steps = oriented(edges if where is None else edges.where(where), direction)
     every = steps.select("at", "to").distinct()
@@ -43,7 +44,8 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
         every = settled(every)
     final = every if last is None else steps.where(last).select("at", "to").distinct()
     front = starts.select(F.col(start).alias("start")).distinct().withColumn("vertex", F.col("start")).withColumn("depth", F.lit(0))
-    out = front if least == 0 else None
+    out = seen = front if least == 0 else None
+    once = most > 2 and least <= 1
     for depth in range(1, most + 1):
         before = front
 
@@ -52,11 +54,21 @@ def reach(starts: DataFrame, edges: DataFrame, least: int = 1, most: int = 6, di
 
         if depth < most or last is None:
             front = moved(every)
+            if once and seen is not None:
+                front = front.join(seen.select("start", "vertex"), ["start", "vertex"], "left_anti")
             if most > 2 and depth < most:  # else every step would compute all those before it again
                 front = settled(front)
+            if once:
+                seen = front if seen is None else seen.unionByName(front)
         if depth >= least:
             found = front if last is None else moved(final)
             out = found if out is None else out.unionByName(found)
+        if most > 2 and depth < most and front.isEmpty():
+            break
+    if once and last is None:  # no pair occurs twice
+        return out
+    if out is None:  # the walk ended before ``least`` steps
+        out = front
     return out.groupBy("start", "vertex").agg(F.min("depth").alias("depth"))
 
 

@@ -16,6 +16,8 @@ from weftline.operators import traverse, vector
 from weftline.plans.guard import is_query, provenance_gap, writes
 
 TOP_K = 40
+#: Plans that are tried for one question until one runs.
+ATTEMPTS = 5
 SCOPES = ("local", "global", "unified")
 #: Reports less similar to a question than this say nothing about it.
 SIMILAR = 0.25
@@ -70,7 +72,11 @@ def schema_of(spark: SparkSession, tables: tuple[str, ...] = ("entities", "relat
 
 
 def ask(spark: SparkSession, planner: Planner, question: str, top_k: int = TOP_K, render: Callable[[list[dict]], str] | None = None) -> Answer:
-    """Plan, guard, run and answer; a provenance gap gets one retry, kept only if it closes the gap."""
+    """Plan, guard, run and answer; a provenance gap gets one retry, kept only if it closes the gap.
+
+    A plan that doesn't run is planned anew with its error, ATTEMPTS times at most and no plan twice;
+    one that is refused is not.
+    """
 
     def attempt(correction: str = "") -> Answer:
         try:
@@ -87,7 +93,10 @@ def ask(spark: SparkSession, planner: Planner, question: str, top_k: int = TOP_K
             return Answer(question, sql=sql, error=f"{type(e).__name__}: {str(e).splitlines()[0]}")
         return Answer(question, (render or plain)(rows), sql, rows)
 
-    first = attempt()
+    first, tried = attempt(), set()
+    while not first.ok and first.sql and not first.error.startswith("refused") and first.sql not in tried and len(tried) + 1 < ATTEMPTS:
+        tried.add(first.sql)
+        first = attempt(first.error)
     gap = provenance_gap(first.sql) if first.ok else ""
     if gap:
         second = attempt(gap)
@@ -139,6 +148,13 @@ class Retriever:
         scored = self.communities.where(F.col("level") == level).withColumn("score", cosine(F.col("embedding"), q))
         return scored.where(F.col("score") >= floor).orderBy(F.col("report_json.rating").desc(), F.col("score").desc(), "_key")
 
+    def points(self, question: str, k: int = TOP_K, level: int = 1, floor: float = SIMILAR) -> DataFrame:
+        """(point, rating, score, reports): findings of those reports, equal ones once with their ratings added, the k best rated."""
+        each = self.wide(question, level, floor).select("_key", "score", F.col("report_json.rating").alias("rating"), F.explode("report_json.findings").alias("finding"))
+        one = each.groupBy("_key", F.col("finding.summary").alias("point")).agg(F.max("rating").alias("rating"), F.max("score").alias("score"))
+        found = one.groupBy("point").agg(F.sum("rating").alias("rating"), F.max("score").alias("score"), F.count(F.lit(1)).alias("reports"))
+        return found.orderBy(F.col("rating").desc(), F.col("score").desc(), "point").limit(k)
+
     def passages(self, question: str, k: int = 8) -> DataFrame:
         """The k best chunks with their document's address and a citation number."""
         best = self.hybrid(self.chunks, question, "content", k).join(self.chunks.select("id", "doc_id", "content"), "id")
@@ -150,7 +166,8 @@ class Retriever:
             raise ValueError(f"scope is one of {', '.join(SCOPES)}")
         rows: list[dict] = []
         if scope == "global":
-            rows = [{"tag": "report", "text": f"{r.report_json.title}: {r.report_json.summary}", "url": None} for r in self.wide(question).collect()]
+            rows = [{"tag": "report", "text": f"{r.report_json.title}: {r.report_json.summary}", "url": None} for r in self.wide(question).limit(TOP_K).collect()]
+            rows += [{"tag": "point", "text": r.point, "url": None} for r in self.points(question).collect()]
         if scope in ("local", "unified"):
             names = self.entities.select(F.col("id").alias("to"), "entity_name")
             found = self.local(question, k).join(names, "to", "left").limit(TOP_K)

@@ -19,7 +19,7 @@ def both(spark, folder, rows, name):
     return compare(spark, con, name, queries.QUERIES[name], queries.ORACLES[name], str(folder))
 
 
-@pytest.mark.parametrize("name", ["analogy_candidates"])
+@pytest.mark.parametrize("name", ["analogy_candidates", "analogy_pair_dedup"])
 def test_blocks_equal_sql(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(similarity, "BLOCK", 40)
     made = np.random.default_rng(3).normal(size=(400, 6)).astype(np.float32)

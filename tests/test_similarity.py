@@ -48,3 +48,21 @@ def test_best_of_two_blocks():
     got = similarity.nearest_of(a, b, -1.0, 7)
     assert set(zip(got["src"].to_pylist(), got["dst"].to_pylist())) == want and len(got) == 299 * 7
     assert similarity.nearest_of(a, b, 2.0, 7).num_rows == similarity.nearest_of(a, b[:0], 0, 7).num_rows == similarity.nearest_of(a[:0], b, 0, 7).num_rows == 0
+
+
+def test_capped_pairs_have_a_cosine(spark, tmp_path):
+    """Taken strongest first; vectors without a direction neither are ends nor use up a source's list."""
+    made = np.random.default_rng(5).normal(size=(90, 4)).astype(np.float32).tolist()
+    odd = [(1000 + 3 * i, [float("nan") if i % 2 else 0.0] * 4, 0) for i in range(60)]
+    rows = [(3 * i + i % 2, x, i % 3) for i, x in enumerate(made)]
+    spark.createDataFrame(rows + odd, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.src, r.dst): r.cosine for r in queries.QUERIES["analogy_capped"](spark, str(tmp_path)).collect()}
+    pairs = []
+    for s, v, role in rows:  # with the odd rows model 1 is the largest
+        near = [(d, float(np.dot(np.float64(v), np.float64(w)) / np.linalg.norm(np.float64(v)) / np.linalg.norm(np.float64(w)))) for d, w, r in rows if r == role and d % 3 != s % 3]
+        pairs += [(-c, s, d) for d, c in sorted(near, key=lambda x: -x[1])[:50] if c >= 0.3] if s % 3 == 0 else []
+    out, into, want = {}, {}, {}
+    for c, s, d in sorted(pairs):
+        if out.get(s, 0) < 3 and into.get(d, 0) < 2:
+            out[s], into[d], want[s, d] = out.get(s, 0) + 1, into.get(d, 0) + 1, -c
+    assert want and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)

@@ -602,8 +602,8 @@ def analogy_pair_dedup(spark, sf_dir):
 
 @query()
 def analogy_capped(spark, sf_dir):
-    """Pairs kept while both ends have room, as SIMILAR_TO edges."""
-    best = similarity.one_per_pair(similarity.candidates(_vectors(spark, sf_dir), floor=_FLOOR))
+    """Pairs kept while both ends have room, as SIMILAR_TO edges. A zero vector, or one with NaN or infinity, is no end of any."""
+    best = similarity.one_per_pair(similarity.candidates(similarity.directed(_vectors(spark, sf_dir)), floor=_FLOOR))
     return similarity.similar_edges(similarity.capped(best)).drop("rank")
 
 

@@ -63,3 +63,32 @@ def test_empty(spark, tmp_path):
     folder = f"file://{tmp_path}/none"
     tokenfile.write_tokens(spark.createDataFrame([], "doc_id long, text string"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     assert tokenfile.read_tokens(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 3001])
+def test_bits_are_those_of_single_codes(n):
+    """Two codes are joined before they are placed; the bit string and its marks are those of one at a time."""
+    rng = np.random.default_rng(n + 1)
+    lengths = huffman.code_lengths(np.array([2 ** (30 - min(i, 30)) for i in range(40)], np.int64))
+    codes, ids = huffman.canonical(lengths), rng.integers(0, 40, n)
+    assert lengths.max() == huffman.LIMIT
+    text = [f"{int(codes[i]):0{int(lengths[i])}b}" for i in ids]
+    bits, marks = huffman.pack(ids, lengths, codes)
+    got = "".join(f"{b:08b}" for b in bits)
+    assert got.startswith("".join(text)) and "1" not in got[sum(map(len, text)) :]
+    assert marks.tolist() == [sum(map(len, text[:k])) for k in range(0, n, huffman.STEP)]
+
+
+def test_ids_are_counted_as_they_are_encoded(spark, tmp_path, monkeypatch):
+    """The draft has the counts of its ids, so ids are read again for coding only."""
+    kept = []
+    monkeypatch.setattr(tokenfile.Scratch, "drop", lambda self, name: kept.append(self.path(name)))
+    rows = [(i, None if i % 5 == 0 else f"word{i % 3} of a text " * (i % 4)) for i in range(40)]
+    tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path), public_tokenizers.path("byte_bpe_50k.json"))
+    ids, counts = [], {}
+    for r in spark.read.parquet(kept[0]).collect():
+        ids += np.frombuffer(r.ids, f"<u{r.width}").tolist() if r.used is None else []
+        for i, n in zip(np.frombuffer(r.used or b"", "<i8").tolist(), np.frombuffer(r.counts or b"", "<i8").tolist()):
+            counts[i] = counts.get(i, 0) + n
+    assert counts == {i: ids.count(i) for i in ids} and counts[tokenfile.END] == 40
+    assert len(tokenfile.read_tokens(spark, str(tmp_path)).collect()) == 40

@@ -56,15 +56,20 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string of ids, in big-endian 64-bit words, and the bit offset of every STEP-th id."""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    at = end - size
+    size, code = lengths[ids], codes[ids]
     if len(ids) and not size.all():
         raise ValueError("an id without a code")
+    if len(ids) % 2:
+        size, code = np.append(size, size[:1] * 0), np.append(code, code[:1] * U(0))
+    # two codes in a row are one of 2 * LIMIT bits at most, so all that follows runs over half as many
+    size, last = size[::2].astype(np.int64) + size[1::2], size[1::2].astype(np.uint64)
+    code = code[::2] << last | code[1::2]
+    end = np.cumsum(size)
+    at = end - size
     total = int(end[-1]) if len(ids) else 0
     words = np.zeros((total >> 6) + 2, np.uint64)
     if len(ids):
-        code, word = codes[ids], at >> 6
+        word = at >> 6
         room = 64 - (at & 63) - size
         inside = room >= 0
         high = np.where(inside, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
@@ -72,7 +77,7 @@ def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes
         words[word[lead]] = np.bitwise_or.reduceat(high, lead)
         over = ~inside
         words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    return words.astype(">u8").tobytes(), at[::STEP]
+    return words.astype(">u8").tobytes(), at[:: STEP // 2]
 
 
 def decode_table(lengths: np.ndarray, limit: int = LIMIT) -> np.ndarray:

@@ -68,7 +68,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END, t
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
+        enc.room = 2
         shard, block, start = TaskContext.get().partitionId(), 0, 0
+        total = np.zeros(1, np.int64)
         for batch in batches:
             for piece in slices(batch, "text", BLOCK):
                 ids, sizes = enc.encode(piece.column("text"), end)
@@ -79,27 +81,28 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END, t
                     "sizes": [sizes.astype("<u4").tobytes()], "ids": [ids.tobytes()],
                 }
                 block, start = block + 1, start + len(ids)
-                yield pa.RecordBatch.from_pydict(row, schema=_DRAFT)
+                yield pa.RecordBatch.from_pydict(row | {"used": [None], "counts": [None]}, schema=_DRAFT)
+                c = np.bincount(ids)
+                if len(c) > len(total):
+                    c, total = total, c
+                total[: len(c)] += c
+        if block:  # last a row with the counts of the partition's ids
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({f: [None] for f in _DRAFT.names} | {"used": [used.astype("<i8").tobytes()], "counts": [total[used].astype("<i8").tobytes()]}, schema=_DRAFT)
 
     base = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = in_order(base, "doc_id", "text")
-    draft = ordered.mapInArrow(tokens, "shard int, block int, start long, tokens long, width int, doc_ids binary, nulls binary, sizes binary, ids binary")
+    draft = ordered.mapInArrow(tokens, "shard int, block int, start long, tokens long, width int, doc_ids binary, nulls binary, sizes binary, ids binary, used binary, counts binary")
     draft.write.option("compression", "none").parquet(scratch.path("draft"))
     draft = spark.read.schema(draft.schema).parquet(scratch.path("draft"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
         for batch in batches:
-            for w, x in zip(batch.column("width").to_pylist(), batch.column("ids")):
-                c = np.bincount(np.frombuffer(x.as_buffer(), f"<u{w}"))
-                if len(c) > len(total):
-                    c, total = total, c
-                total[: len(c)] += c
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+            for pair in zip(batch.column("used"), batch.column("counts")):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), "<i8")) for x in pair], ["id", "n"])
 
     # a row per id of the vocabulary at most
-    counts = draft.select("width", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = draft.where("used IS NOT NULL").select("used", "counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     seen = np.zeros(max([r.id for r in counts], default=0) + 1, np.int64)
     for r in counts:
         seen[r.id] = r.n
@@ -118,12 +121,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END, t
                 data = write_block(doc_ids, null, sizes, np.frombuffer(row["ids"].as_buffer(), f"<u{row['width'].as_py()}"), size, codes)
                 yield pa.RecordBatch.from_pydict({c: [row[c].as_py()] for c in ("shard", "block", "start", "tokens")} | {"data": [data]}, schema=_BLOCKS)
 
-    coded = draft.mapInArrow(code, "shard int, block int, start long, tokens long, data binary")
+    coded = draft.where("used IS NULL").drop("used", "counts").mapInArrow(code, "shard int, block int, start long, tokens long, data binary")
     coded.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
     scratch.drop("draft")
 
 
-_DRAFT = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("tokens", pa.int64()), ("width", pa.int32()), ("doc_ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
+_DRAFT = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("tokens", pa.int64()), ("width", pa.int32()), ("doc_ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("used", pa.binary()), ("counts", pa.binary())])
 _BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("tokens", pa.int64()), ("data", pa.binary())])
 
 

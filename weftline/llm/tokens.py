@@ -63,6 +63,8 @@ def _odd_places(data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts as little-endian numbers of ``width`` bytes. added: strings of added tokens get their ids."""
 
+    room = 1  # times KEPT and YOUNG that are stored
+
     def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -134,21 +136,27 @@ class Encoder:
 
     def _look_up(self, keys: list[bytes], whole: dict[int, bytes]) -> list[bytes]:
         """The ids of each piece; ``whole`` has some by their place."""
-        if len(self.memo) > KEPT:
-            self.memo = dict(list(self.memo.items())[: KEPT // 2])
-        if len(self.young) > YOUNG:
+        if len(self.memo) > KEPT * self.room:
+            self.memo = dict(list(self.memo.items())[: KEPT * self.room // 2])
+        if len(self.young) > YOUNG * self.room:
             self.young = {}
         memo, young = self.memo, self.young
-        pool = [memo.get(k) for k in keys]
+        pool = list(map(memo.get, keys))
         for i, x in whole.items():
             pool[i] = x
-        missed = [k for k, x in zip(keys, pool) if x is None]
-        if missed:
-            new = [k for k in missed if k not in young]
-            memo.update([(k, young.pop(k)) for k in missed if k in young])  # came again: kept from now on
+        at = [i for i, x in enumerate(pool) if x is None]
+        if at:
+            missed = [keys[i] for i in at]
+            known = list(map(young.get, missed))
+            again = [(k, x) for k, x in zip(missed, known) if x is not None]
+            memo.update(again)  # came again: kept from now on
+            for k, _ in again:
+                del young[k]
+            new = [k for k, x in zip(missed, known) if x is None]
             if new:
                 self._learn(new)
-            pool = [x if x is not None else memo[k] if k in memo else young[k] for k, x in zip(keys, pool)]
+            for i, k, x in zip(at, missed, known):
+                pool[i] = young[k] if x is None else x
         return pool
 
     def _with_added(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:

@@ -151,3 +151,15 @@ def test_equals_plain_scorer():
     net = tx.fit_texts(*sample(1, 200))
     texts = [x for x in sample(4, 12)[0]] + ["Zorguti", "a b c " * 70, "é"]
     assert np.allclose(net.score(pa.array(texts)), [plain(net, x) for x in texts], atol=2e-3)
+
+
+def test_curve_of_parted_logits():
+    """Where logits part the labels, the curve's threshold lies between them, also far from zero."""
+    rng = np.random.default_rng(6)
+    for low, high in ((6.17, 7.31), (4.6, 7.5), (-9.0, -8.2), (20.0, 21.0)):
+        x = np.concatenate([low - rng.exponential(1.5, 60), [low], high + rng.exponential(0.3, 25), [high]])
+        label = np.arange(len(x)) > 60
+        net = tx.Network(np.zeros(0, np.uint64))
+        net.calibrate(x, label, float(label.mean()))
+        score = 1 / (1 + np.exp(-(net.slope * x + net.shift)))
+        assert ((score >= tx.THRESHOLD) == label).all(), (low, high)

@@ -263,12 +263,20 @@ class Network:
         x, y = np.clip(x[ok], -30, 30), label[ok].astype(np.float64)
         if not len(x) or y.min() == y.max():
             return
-        ab = np.array([1.0, 0.0])
+        ab, middle, pull = np.array([1.0, 0.0]), np.array([0.5, 0.0]), np.array([1e-2, 1e-4])
         feature = np.stack([x, np.ones(len(x))], 1)
-        for _ in range(50):
+
+        def loss(ab: np.ndarray) -> float:
+            z = feature @ ab
+            return float((np.logaddexp(0, z) - y * z).sum() + (pull * (ab - middle) ** 2).sum() / 2)
+
+        for _ in range(100):
             q = 1 / (1 + np.exp(-np.clip(feature @ ab, -35, 35)))
-            hess = feature.T @ (feature * (q * (1 - q))[:, None]) + np.diag([1e-2, 1e-4])
-            ab -= np.clip(np.linalg.solve(hess, feature.T @ (q - y) + np.array([1e-2, 1e-4]) * (ab - [0.5, 0.0])), -1, 1)
+            hess = feature.T @ (feature * (q * (1 - q))[:, None]) + np.diag(pull)
+            step, now = np.linalg.solve(hess, feature.T @ (q - y) + pull * (ab - middle)), loss(ab)
+            # where logits part the labels wholly, a full step may lead away from the minimum
+            share = next((s for s in 0.5 ** np.arange(30) if loss(ab - s * step) <= now), 0.0)
+            ab = ab - share * step
         odds = lambda p: np.log(p / (1 - p))
         self.slope, self.shift = float(max(ab[0], 1e-3)), float(ab[1] + (odds(prior) - odds(y.mean()) if 0 < prior < 1 else 0.0))
 

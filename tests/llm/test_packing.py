@@ -72,3 +72,15 @@ def test_every_id_in_one_piece(spark, most, horizon, monkeypatch):
 
 def test_empty(spark):
     assert packing.packed(spark.createDataFrame([], "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_texts_are_read_a_few_rows_at_once(spark):
+    """Executors' heap grew with the reader's 4096 rows of whole texts."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.set(name, 4096)
+    packing.packed(spark.createDataFrame([], "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"))
+    assert int(spark.conf.get(name)) == 256
+    spark.conf.set(name, 100)  # a lower one stays
+    packing.packed(spark.createDataFrame([], "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"))
+    assert int(spark.conf.get(name)) == 100
+    spark.conf.unset(name)

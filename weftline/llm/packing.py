@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import in_order, small_batches
+from weftline.llm.scratch import in_order, short_reads, small_batches
 from weftline.llm.textcode import ranges, slices
 from weftline.llm.tokens import encoder
 
@@ -187,6 +187,7 @@ def packed(docs: DataFrame, tokenizer: str, end: int = END, text: str = "text",
         yield out(list(packer.pack(True)))
 
     small_batches(docs.sparkSession)
+    short_reads(docs.sparkSession)
     base = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = in_order(base, "doc_id", "text")
     return ordered.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -78,6 +78,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_BYTES)
 
 
+#: Rows that Spark's Parquet reader holds at once where they have whole texts.
+READ_ROWS = 256
+
+
+def short_reads(spark: SparkSession) -> None:
+    """Bound the memory of the Parquet reader: its 4096 rows of text are arrays of many megabytes, doubled as they grow.
+
+    As with ``small_batches`` the session's setting has to stay lowered until the results have run.
+    """
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    if int(spark.conf.get(name)) > READ_ROWS:
+        spark.conf.set(name, READ_ROWS)
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """A column name that none of the frames has, whatever case names are compared in."""
     taken = {c.lower() for f in frames for c in f.columns}
